@@ -33,27 +33,22 @@ def with_previous(
     """Add ``previous``: the value of the key's row before this one.
 
     A plain ``lag`` per key would put a whole machine into one task. Instead each key is cut into
-    time segments: within a segment ``lag`` does, and its first row takes the last value of the
-    key's segment before, found the same way among the segment ends, with the next wider segment.
-    Times are unique per key, so no group outgrows what its segment can hold.
+    time segments, and each segment is led by one row with the last value of the key's segment
+    before, found the same way among the segment ends, with the next wider segment. Times are
+    unique per key, so no group outgrows what its segment can hold.
     """
     if not segments:
         return rows.withColumn("previous", F.lag(value).over(W.partitionBy(*keys).orderBy(time)))
-    bin_ = date_bin(segments[0], F.col(time))
-    segment, first = f"_segment{len(segments)}", f"_first{len(segments)}"
-    window = W.partitionBy(*keys, segment).orderBy(time)
-    inner = (
-        rows.withColumn(segment, bin_)
-        .withColumn("_lag", F.lag(value).over(window))
-        .withColumn(first, F.row_number().over(window) == 1)
+    segment = f"_segment{len(segments)}"
+    bin_ = date_bin(segments[0], F.col(time)).alias(segment)
+    ends = rows.groupBy(*keys, bin_).agg(F.max_by(value, time).alias("_end"))
+    leads = with_previous(ends, keys, segment, "_end", segments[1:]).select(
+        *keys, segment, F.col("previous").alias(value), F.lit(True).alias("_lead")
     )
-    ends = rows.groupBy(*keys, bin_.alias(segment)).agg(F.max_by(value, time).alias("_end"))
-    carried = with_previous(ends, keys, segment, "_end", segments[1:]).select(
-        *keys, segment, F.col("previous").alias("_carried")
-    )
-    previous = F.when(F.col(first), F.col("_carried")).otherwise(F.col("_lag"))
+    led = rows.select("*", bin_, F.lit(False).alias("_lead")).unionByName(leads, allowMissingColumns=True)
+    window = W.partitionBy(*keys, segment).orderBy(F.col("_lead").desc(), time)
     return (
-        inner.join(carried, [*keys, segment])
-        .withColumn("previous", previous)
+        led.withColumn("previous", F.lag(value).over(window))
+        .filter(~F.col("_lead"))
         .select(*rows.columns, "previous")
     )

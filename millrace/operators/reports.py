@@ -1,4 +1,7 @@
-"""Operating queries on the tiers. ``now`` is always given, never read from the clock."""
+"""Operating queries on the tiers. ``now`` is always given, never read from the clock.
+
+Results come in display order; ``ordered=False`` spares the sort where they are processed further.
+"""
 
 from __future__ import annotations
 
@@ -25,11 +28,12 @@ def latest_reading(
     measures: Sequence[str] = ("power_kw", "energy_kwh", "voltage_v", "current_a", "power_factor"),
     by: Sequence[str] = TAGS,
     prefix: str = "latest_",
+    ordered: bool = True,
 ) -> DataFrame:
     """Last value of each measure per machine; readings are unique by key, so all come from one row."""
     last = [F.max_by(m, "time").alias(f"{prefix}{m}") for m in measures]
     grouped = since(raw, now, freshness).groupBy(*by).agg(*last, F.max("time").alias("last_seen"))
-    return grouped.orderBy(*by)
+    return grouped.orderBy(*by) if ordered else grouped
 
 
 def minute_trend(minute: DataFrame, now: Instant, span: timedelta = HOUR) -> DataFrame:
@@ -101,24 +105,20 @@ def power_factor_alert(
     )
 
 
-def hourly_energy(hour: DataFrame, now: Instant) -> DataFrame:
+def hourly_energy(hour: DataFrame, now: Instant, ordered: bool = True) -> DataFrame:
     """Energy per hour of today and machine, locations merged."""
-    return (
+    grouped = (
         today(hour, now)
         .groupBy(date_bin(HOUR, F.col("time")).alias("hour_bucket"), "machine_id")
         .agg(F.sum("sum_energy_kwh").alias("energy_kwh"))
-        .orderBy("hour_bucket", "machine_id")
     )
+    return grouped.orderBy("hour_bucket", "machine_id") if ordered else grouped
 
 
-def energy_share(minute: DataFrame, now: Instant) -> DataFrame:
+def energy_share(minute: DataFrame, now: Instant, ordered: bool = True) -> DataFrame:
     """Energy per machine of today so far, largest first."""
-    return (
-        today_so_far(minute, now)
-        .groupBy("machine_id")
-        .agg(F.sum("sum_energy_kwh").alias("total_kwh"))
-        .orderBy(F.col("total_kwh").desc(), "machine_id")
-    )
+    grouped = today_so_far(minute, now).groupBy("machine_id").agg(F.sum("sum_energy_kwh").alias("total_kwh"))
+    return grouped.orderBy(F.col("total_kwh").desc(), "machine_id") if ordered else grouped
 
 
 def total_power(latest: DataFrame, column: str = "power_kw") -> DataFrame:

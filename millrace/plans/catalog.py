@@ -241,7 +241,7 @@ def fleet_meter_delta(spark, sf):
 
 @query
 def dense_hourly_grid(spark, sf):
-    return s.dense_hourly_grid(r.hourly_energy(hour(spark, sf), NOW))
+    return s.dense_hourly_grid(r.hourly_energy(hour(spark, sf), NOW, ordered=False))
 
 
 @query
@@ -251,7 +251,7 @@ def dashboard_realtime(spark, sf):
 
 @query
 def dashboard_line_chart(spark, sf):
-    series = s.line_chart_section(r.hourly_energy(hour(spark, sf), NOW))
+    series = s.line_chart_section(r.hourly_energy(hour(spark, sf), NOW, ordered=False))
     thousandths = F.transform("data", lambda x: F.round(x * 1000).cast("bigint").cast("string"))
     return series.select(
         "machine_id",
@@ -263,13 +263,14 @@ def dashboard_line_chart(spark, sf):
 
 @query
 def dashboard_pie_chart(spark, sf):
-    return s.pie_chart_section(r.energy_share(minute(spark, sf), NOW))
+    return s.pie_chart_section(r.energy_share(minute(spark, sf), NOW, ordered=False))
 
 
 @query
 def dashboard_document(spark, sf):
     """The document's JSON fragments, read back into one row per number or label."""
-    sections = d.sections_of(raw(spark, sf), minute(spark, sf), hour(spark, sf), NOW)
+    tiers = {RAW_TIER: raw, MINUTE_TIER: minute, HOUR_TIER: hour}
+    sections = d.query_sections(spark, lambda tier: tiers[tier](spark, sf), NOW)
     return read_fragments(d.merge_dashboard(spark, sections, NOW))
 
 
@@ -332,7 +333,8 @@ def explode_batch(spark, sf):
 
 @query
 def rule_project(spark, sf):
-    return c.rule_project(messages(events(spark, sf)))
+    flat = c.rule_project(messages(events(spark, sf)))
+    return flat.withColumn("ts_ms", F.coalesce("ts_ms", F.lit(-1)))
 
 
 @query

@@ -171,7 +171,7 @@ ORACLES: dict[str, str] = {
     "fleet_power_factor_alert": f"""{WIDE_FLEET} SELECT machine_id, location,
         {fixed('avg(avg_power_factor)')} AS avg_pf_last_hour, count(*) AS sample_count
         FROM minutes WHERE time >= {WIDE_NOW} - INTERVAL 30 DAY
-        GROUP BY machine_id, location HAVING avg(avg_power_factor) < 0.90""",
+        GROUP BY machine_id, location HAVING avg(avg_power_factor) < 0.8991234::double""",
     "hourly_energy": f"""{FAST}, {HOURLY} SELECT hour_bucket, machine_id, {rounded('energy_kwh')} FROM hourly""",
     "energy_share": f"{FAST}, {SHARE} SELECT machine_id, {rounded('total_kwh')} FROM share",
     "total_power": f"{FAST}, {LATEST} SELECT {fixed(TOTAL_POWER)} AS total_power_kw FROM latest",
@@ -208,7 +208,7 @@ ORACLES: dict[str, str] = {
     "topic_filter": f"{MESSAGES} SELECT event_id, topic FROM messages WHERE topic LIKE 'energy/%'",
     "topic_filter_two_levels": f"{MESSAGES} SELECT event_id, topic FROM messages WHERE topic LIKE 'factory/%'",
     "parse_validate": f"{VALID} SELECT {RAW_ROUNDED}, received_at FROM valid",
-    "quarantine": f"""{MESSAGES} SELECT topic, received_at, reject_reason, received_at::date AS date
+    "quarantine": f"""{MESSAGES} SELECT topic, received_at, reject_reason
         FROM messages WHERE reject_reason IS NOT NULL""",
     "reject_counts": f"""{MESSAGES} SELECT reject_reason, count(*) AS messages FROM messages
         WHERE reject_reason IS NOT NULL GROUP BY ALL""",
@@ -228,7 +228,7 @@ ORACLES: dict[str, str] = {
         CASE WHEN kind = 10 THEN 0 WHEN kind NOT IN (0, 3, 8, 9, 11, 12) THEN ({SENT_MS}) // 1000 END AS ts_ms,
         epoch_us(received_at) // 1000 AS mqtt_ts FROM messages)
         SELECT machine_id, location, {rounded('power_kw', 'energy_kwh', 'voltage_v', 'current_a', 'power_factor')},
-        ts_ms, mqtt_ts FROM fields""",
+        coalesce(ts_ms, -1) AS ts_ms, mqtt_ts FROM fields""",
     "outgoing_topics": f"""{FAST} SELECT 'energy/' || machine_id || '/data' AS topic, count(*) AS messages
         FROM raw GROUP BY ALL""",
     "dedupe_last_write": f"""WITH raw AS ({raw(extra=', event_id')}) SELECT {KEYS}, {fixed('power_kw * 2')} AS power_kw,

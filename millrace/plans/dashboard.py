@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.clock import instant, iso_string
+from millrace.functions.clock import floor_to, instant, iso_string, to_utc
 from millrace.operators.reports import (
     DASHBOARD_FRESHNESS,
     energy_share,
@@ -31,7 +31,7 @@ from millrace.operators.sections import (
     pie_chart_section,
     realtime_section,
 )
-from millrace.schemas import HOUR_TIER, MINUTE_TIER, RAW_TIER
+from millrace.schemas import DAY, HOUR_TIER, MINUTE_TIER, RAW_TIER, Tier
 from millrace.session import ensure_checkpoint_dir
 from millrace.sources.tiers import TierTables
 
@@ -57,27 +57,34 @@ class Sections:
 
 
 def latest_for_dashboard(raw: DataFrame, now) -> DataFrame:
-    return latest_reading(raw, now, DASHBOARD_FRESHNESS, REALTIME_MEASURES, prefix="")
+    return latest_reading(raw, now, DASHBOARD_FRESHNESS, REALTIME_MEASURES, prefix="", ordered=False)
 
 
-def sections_of(raw: DataFrame, minute: DataFrame, hour: DataFrame, now) -> Sections:
-    """Sections from tier rows, not computed yet."""
-    return Sections(latest_for_dashboard(raw, now), hourly_energy(hour, now), energy_share(minute, now))
+def query_sections(spark: SparkSession, read: Callable[[Tier], DataFrame], now: datetime | str) -> Sections:
+    """The three section queries, each run by itself, so that one may fail alone.
 
-
-def query_sections(tables: TierTables, now: datetime | str) -> Sections:
-    """Sections from the tier tables, each run by itself, so that one may fail alone.
-
-    A result is small beside its tier and feeds several fragments: it is checkpointed once.
+    ``read`` gives a tier's rows. A result has one row per machine, or 24, and feeds several
+    fragments, so it is checkpointed.
     """
-    ensure_checkpoint_dir(tables.spark)
+    ensure_checkpoint_dir(spark)
     return Sections(
-        section_or_none("realtime", lambda: latest_for_dashboard(tables.read(RAW_TIER), now)),
-        section_or_none("line_chart", lambda: hourly_energy(tables.read(HOUR_TIER), now)),
-        section_or_none("pie_chart", lambda: energy_share(tables.read(MINUTE_TIER), now)),
+        section_or_none("realtime", lambda: latest_for_dashboard(read(RAW_TIER), now)),
+        section_or_none("line_chart", lambda: hourly_energy(read(HOUR_TIER), now, ordered=False)),
+        section_or_none("pie_chart", lambda: energy_share(read(MINUTE_TIER), now, ordered=False)),
     )
 
 
+def dashboard_of(tables: TierTables, now: datetime | str) -> DataFrame:
+    """The document over the tier tables; each section scans only its part of a day."""
+
+    def read(tier: Tier) -> DataFrame:
+        now_utc = to_utc(now)
+        start = now_utc - DASHBOARD_FRESHNESS if tier is RAW_TIER else floor_to(DAY, now_utc)
+        return tables.read(tier, start)
+
+    return merge_dashboard(tables.spark, query_sections(tables.spark, read, now), now)
+
+
 def section_or_none(name: str, build: Callable[[], DataFrame]) -> DataFrame | None:
     try:
         return build().checkpoint()

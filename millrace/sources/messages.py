@@ -32,10 +32,9 @@ def filter_topic(messages: DataFrame, pattern: str) -> DataFrame:
 
 def explode_batch(messages: DataFrame) -> DataFrame:
     """One message per reading; a payload that is no array passes through unchanged."""
-    readings = F.from_json("payload", "array<string>")
     is_array = F.col("payload").rlike(r"^\s*\[")
-    parts = F.when(is_array & readings.isNotNull(), readings).otherwise(F.array("payload"))
-    return messages.withColumn("payload", F.explode(parts))
+    readings = F.when(is_array, F.from_json("payload", "array<string>"))
+    return messages.withColumn("payload", F.explode(F.coalesce(readings, F.array("payload"))))
 
 
 def build_topic(machine_id: Column, template: str = "energy/{machine_id}/data") -> Column:

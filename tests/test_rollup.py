@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+from datetime import timedelta
+
+from pyspark.sql import functions as F
+
+from millrace.operators.meter import meter_to_delta
+from millrace.operators.rollup import completeness, late_rows, rollup_hour, rollup_minute
+from millrace.schemas import MINUTE, ROLLUP_SCHEMA
+from tests.conftest import at, rows_of
+
+
+def test_minute_buckets_are_half_open(raw_rows):
+    raw = raw_rows(
+        ("09:59:59.999999", "m1", "hall", 9.0), ("10:00:00", "m1", "hall", 1.0),
+        ("10:00:50", "m1", "hall", 3.0), ("10:01:00", "m1", "hall", 5.0), ("10:02:00", "m1", "hall", 7.0),
+    )
+    minutes = rollup_minute(raw, "2024-01-01 10:00:00", "2024-01-01 10:02:00")
+    assert minutes.columns == ROLLUP_SCHEMA.names
+    assert rows_of(minutes, "time", "avg_power_kw", "min_power_kw", "max_power_kw", "sample_count") == [
+        ("2024-01-01 10:00:00", 2.0, 1.0, 3.0, 2), ("2024-01-01 10:01:00", 5.0, 5.0, 5.0, 1),
+    ]
+    assert "sample_count" not in rollup_minute(raw, with_count=False).columns
+
+
+def test_empty_measures_fill_after_the_aggregate(raw_rows):
+    raw = raw_rows(
+        ("10:00:00", "m1", "hall", None), ("10:00:10", "m1", "hall", 4.0),
+        ("10:00:00", "m2", "hall", None), ("10:00:00", "m3", "hall", float("nan")),
+    )
+    assert rows_of(rollup_minute(raw), "machine_id", "avg_power_kw", "min_power_kw", "sample_count") == [
+        ("m1", 4.0, 4.0, 2), ("m2", 0.0, 0.0, 1), ("m3", 0.0, 0.0, 1),
+    ]
+
+
+def test_absent_tags_group_as_unknown_and_absent_times_go(raw_rows):
+    raw = raw_rows(("10:00:00", None, "hall"), ("10:00:10", "unknown", "hall"), (None, "m1", "hall"))
+    assert rows_of(rollup_minute(raw), "machine_id", "sample_count") == [("unknown", 2)]
+
+
+def test_hour_averages(tier_rows):
+    minutes = tier_rows(
+        ("10:00:00", "m1", "hall", 1.0, 0.5, 1), ("10:59:00", "m1", "hall", 4.0, 0.25, 5),
+        ("11:00:00", "m1", "hall", 7.0, 1.0, 6),
+    )
+    first = ("2024-01-01 10:00:00",)
+    plain = rollup_hour(minutes, end="2024-01-01 11:00:00")
+    assert rows_of(plain, "time", "avg_power_kw", "sum_energy_kwh", "sample_count") == [(*first, 2.5, 0.75, 6)]
+    weighted = rollup_hour(minutes, end="2024-01-01 11:00:00", weighting="sample_count")
+    assert rows_of(weighted, "time", "avg_power_kw") == [(*first, 3.5)]
+    counted = rollup_hour(minutes, end="2024-01-01 11:00:00", count_mode="rows")
+    assert rows_of(counted, "time", "sample_count") == [(*first, 2)]
+
+
+def test_weights_of_zero_give_zero(tier_rows):
+    minutes = tier_rows(("10:00:00", "m1", "hall", 1.0, 0.5, 0))
+    assert rows_of(rollup_hour(minutes, weighting="sample_count"), "avg_power_kw") == [(0.0,)]
+
+
+def test_tiers_agree_on_energy_and_samples(raw_rows):
+    raw = raw_rows(*((f"{9 + i // 200:02}:{i % 60:02}:{i % 50:02}.{i:03}", f"m{i % 3}", "hall", float(i)) for i in range(400)))
+    minutes = rollup_minute(raw)
+    hours = rollup_hour(minutes)
+    total = raw.agg(F.sum("energy_kwh")).first()[0]
+    for tier in (minutes, hours):
+        energy, samples = tier.agg(F.sum("sum_energy_kwh"), F.sum("sample_count")).first()
+        assert abs(energy - total) < 1e-9
+        assert samples == 400
+    assert hours.filter("min_power_kw > avg_power_kw or avg_power_kw > max_power_kw").isEmpty()
+
+
+def test_one_shuffle_per_tier(raw_rows):
+    raw = raw_rows(("10:00:00", "m1"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(rollup_minute(raw)).count("Exchange") == 1
+    assert plan(rollup_hour(rollup_minute(raw))).count("Exchange") == 2
+    assert "Python" not in plan(rollup_hour(rollup_minute(raw)))
+
+
+def test_completeness(tier_rows):
+    minutes = tier_rows(("10:00:00", "m1", "hall", 1.0, 0.1, 6), ("10:01:00", "m1", "hall", 1.0, 0.1, 3))
+    assert rows_of(completeness(minutes, 6), "completeness") == [(0.5,), (1.0,)]
+    assert rows_of(completeness(minutes, 6, threshold=1.0), "time") == [("2024-01-01 10:01:00",)]
+
+
+def test_late_rows(raw_rows):
+    raw = raw_rows(("10:00:30", "m1"), ("10:00:31", "m1"))
+    arrived = raw.withColumn(
+        "received_at", F.when(F.second("time") == 30, F.lit("2024-01-01 10:01:59")).otherwise("2024-01-01 10:02:00").cast("timestamp")
+    )
+    assert rows_of(late_rows(arrived, "received_at", MINUTE, MINUTE), "time") == [("2024-01-01 10:00:31",)]
+
+
+def test_meter_readings(raw_rows):
+    raw = raw_rows(*((t, "m1", "hall", 360.0 * v) for t, v in (
+        ("10:00:00", 100.0), ("10:00:10", 101.5), ("10:00:20", 2.0), ("10:05:00", 2.0), ("2024-01-03T00:00:00", 7.0),
+    )))
+    deltas = meter_to_delta(raw).orderBy("time").select("energy_kwh")
+    assert [r[0] for r in deltas.collect()] == [None, 1.5, 2.0, 0.0, 5.0]
+
+
+def test_meter_segments_match_a_plain_lag_with_one_hot_machine(spark):
+    readings = spark.range(3000).selectExpr(
+        "timestamp_micros(1704067200000000 + id * 977 * 1000000) as time",
+        "if(id % 3 = 0, 'hot', concat('m', id % 7)) as machine_id",
+        "if(id % 11 = 0, cast(null as string), 'hall') as location",
+        "cast(pmod(hash(id), 1000) as double) as energy_kwh",
+    )
+    plain = meter_to_delta(readings, segments=())
+    for segments in ((MINUTE, timedelta(days=1)), (timedelta(hours=1),), (timedelta(seconds=1), MINUTE, timedelta(days=1))):
+        cut = meter_to_delta(readings, segments=segments)
+        assert cut.exceptAll(plain).isEmpty()
+        assert cut.count() == 3000
+    assert plain.filter("energy_kwh is null").count() == readings.select("machine_id", "location").distinct().count()
+
+
+def test_pre_1970_rows(raw_rows):
+    raw = raw_rows(("1969-12-31T23:59:30", "m1"))
+    assert rows_of(rollup_minute(raw), "time") == [("1969-12-31 23:59:00",)]
+    assert at("1969-12-31T23:59:30").year == 1969

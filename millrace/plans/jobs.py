@@ -14,9 +14,7 @@ from millrace.functions.clock import floor_to, to_utc
 from millrace.operators.cleanse import cleanse, rejected, valid_readings
 from millrace.operators.rollup import rollup_hour, rollup_minute
 from millrace.schemas import HOUR_TIER, MINUTE, MINUTE_TIER, RAW_TIER, Tier
-from millrace.sources.tiers import TierTables
-
-Window = tuple[datetime, datetime]
+from millrace.sources.tiers import TierTables, Window
 
 
 @dataclass(frozen=True)
@@ -59,7 +57,7 @@ def run_rollup(tables: TierTables, config: RollupConfig, now: datetime | str) ->
     """
     end = floor_to(config.bucket, now)
     window = (end - config.lookback, end)
-    _upsert(tables, config, window)
+    tables.upsert(config.target, config.rows(tables, window))
     return window
 
 
@@ -74,7 +72,7 @@ def checkpointed_rollup(tables: TierTables, config: RollupConfig, now: datetime
     end = floor_to(config.bucket, to_utc(now) - config.offset)
     if end <= start:
         return None
-    _upsert(tables, config, (start, end))
+    tables.upsert(config.target, config.rows(tables, (start, end)))
     tables.write_mark(config.job, end)
     return start, end
 
@@ -95,7 +93,7 @@ def backfill(
     start, end = floor_to(coarsest, start), _ceil_to(coarsest, end)
     for window in _pieces(start, end, step):
         for config in configs:
-            _upsert(tables, config, window)
+            tables.merge(config.target, config.rows(tables, window), window)
 
 
 def ingest_batch(
@@ -126,10 +124,6 @@ def write_quarantine(bad: DataFrame, path: str, batch: str) -> None:
     )
 
 
-def _upsert(tables: TierTables, config: RollupConfig, window: Window) -> None:
-    tables.upsert(config.target, config.rows(tables, window), window=window)
-
-
 def _pieces(start: datetime, end: datetime, step: timedelta | None) -> Iterator[Window]:
     step = step or (end - start)
     while start < end:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -15,6 +16,7 @@ from millrace.functions.clock import (
     Instant,
     floor_to,
     instant,
+    micros,
     to_utc,
     utc_date,
     utc_hour,
@@ -22,10 +24,12 @@ from millrace.functions.clock import (
 from millrace.operators.merge import dedupe_last, merge_last
 from millrace.operators.scope import retain, time_range
 from millrace.schemas import DAY, HOUR, KEY, TIERS, Tier
-from millrace.session import ensure_checkpoint_dir
+from millrace.session import shared_dir
 
 log = logging.getLogger(__name__)
 
+Window = tuple[datetime, datetime]
+
 _PARTITION_TYPES = {"date": DateType(), "hour_of_day": IntegerType()}
 _PARTITION_VALUES = {"date": utc_date, "hour_of_day": utc_hour}
 
@@ -63,11 +67,17 @@ class TierTables:
             names.append(name)
         return names
 
-    def refresh(self, database: str) -> None:
-        """Let the catalog see partitions written since the last refresh."""
+    def refresh(self, database: str, window: Window | None = None) -> None:
+        """Let the catalog see written partitions: those of ``window``, or all after a full listing."""
         for tier in TIERS:
             name = f"{database}.{tier.name}"
-            self.spark.catalog.recoverPartitions(name)
+            if window is None:
+                self.spark.catalog.recoverPartitions(name)
+            else:
+                found = [f for f in _folders(tier, window) if self._fs_exists(f"{self.path(tier)}/{f}")]
+                specs = " ".join(f"PARTITION ({_partition_spec(f)})" for f in found)
+                if specs:
+                    self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
             self.spark.catalog.refreshTable(name)
 
     def read(self, tier: Tier, start: Instant | None = None, end: Instant | None = None) -> DataFrame:
@@ -80,44 +90,39 @@ class TierTables:
         return rows.select(*tier.schema.names)
 
     def write(self, tier: Tier, rows: DataFrame) -> None:
-        """Replace the partitions ``rows`` fall into.
+        """Replace the partitions ``rows`` fall into."""
+        self._save(tier, rows, "overwrite")
 
-        The rebalance hint lets adaptive execution cut a large partition into several files and
-        gather small ones, so one busy hour is not written by one task.
+    def merge(self, tier: Tier, updates: DataFrame, window: Window) -> None:
+        """Write ``updates``, which lie in ``window``, by key, and rewrite its partitions.
+
+        For bulk work: one job, and the updates are computed once, inside the write.
         """
-        placed = rows.select(*tier.schema.names, *_partition_columns(tier))
-        (
-            placed.hint("rebalance", *(F.col(p) for p in tier.partitions))
-            .sortWithinPartitions(*tier.partitions, "machine_id", "time")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*tier.partitions)
-            .parquet(self.path(tier))
-        )
+        updates = updates.select(*tier.schema.names)
+        old = self._cells(tier, [(floor_to(_cell(tier), window[0]), window[1])])
+        self.write(tier, merge_last(old, updates, KEY))
 
-    def upsert(
-        self,
-        tier: Tier,
-        updates: DataFrame,
-        window: tuple[datetime, datetime] | None = None,
-        order_by: str | None = None,
-    ) -> None:
-        """Write ``updates`` by key, last write wins. Only touched partitions are rewritten.
-
-        With ``window`` the updates lie in ``[start, end)`` and are computed once, inside the
-        write. Without it they are checkpointed first and their partitions looked up.
-        ``order_by`` names the arrival column where one key may come several times.
+    def upsert(self, tier: Tier, updates: DataFrame, order_by: str | None = None) -> None:
+        """Write ``updates`` by key, last write wins, and rewrite only what changes.
+
+        For steady work. Rows with new keys are appended, rows already there as they are need
+        nothing, and only partitions where a row changes are rewritten. Repeating it is safe, also
+        after a run that stopped half way through its appends. ``order_by`` names the arrival
+        column where one key may come several times.
         """
         if order_by:
             updates = dedupe_last(updates, KEY, order_by)
-        updates = updates.select(*tier.schema.names)
-        if window is not None:
-            old = self._cells(tier, [(floor_to(_cell(tier), window[0]), window[1])])
-        else:
-            ensure_checkpoint_dir(self.spark)
-            updates = updates.checkpoint()
-            old = self._cells(tier, touched_spans(updates, _cell(tier)))
-        self.write(tier, merge_last(old, updates, KEY))
+        folder = shared_dir(self.spark, f"upsert-{tier.name}")
+        updates.select(*tier.schema.names).write.parquet(folder)
+        try:
+            self._apply(tier, self.spark.read.schema(tier.schema).parquet(folder))
+        finally:
+            self._fs_delete(folder)
+
+    def compact(self, tier: Tier, start: datetime, end: datetime) -> None:
+        """Rewrite the partitions of a closed range, so that appends leave few files."""
+        cell = _cell(tier)
+        self.write(tier, self._cells(tier, [(floor_to(cell, start), end)]))
 
     def apply_retention(self, tier: Tier, days: int, now: datetime | str) -> bool:
         """Delete rows older than ``days``. A failure is logged and reported as False."""
@@ -152,6 +157,45 @@ class TierTables:
     def _marks(self, job: str) -> str:
         return f"{self.root.rstrip('/')}/marks/{job}"
 
+    def _apply(self, tier: Tier, updates: DataFrame) -> None:
+        index = _cell_index(_cell(tier))
+        cells = _numbers(updates.select(index))
+        known = self._known(tier, updates, cells)
+        seen = known.groupBy(index).agg(F.max("changed").alias("changed")).collect()
+        rewritten = [row.cell for row in seen if row.changed]
+        overlapping = [row.cell for row in seen if not row.changed]
+
+        appended = updates.filter(~index.isin(rewritten))
+        if overlapping:
+            appended = appended.join(self._known(tier, updates, overlapping), list(KEY), "left_anti")
+        if len(rewritten) < len(cells):
+            self._save(tier, appended, "append")
+        if rewritten:
+            old = self._cells(tier, _spans(tier, rewritten))
+            self.write(tier, merge_last(old, updates.filter(index.isin(rewritten)), KEY))
+
+    def _known(self, tier: Tier, updates: DataFrame, cells: list[int]) -> DataFrame:
+        """Keys of ``updates`` the tier has already, and whether their values change."""
+        values = [c for c in tier.schema.names if c not in KEY]
+        old = self._cells(tier, _spans(tier, cells)).select(*KEY, F.struct(*values).alias("old"))
+        new = updates.select(*KEY, F.struct(*values).alias("new"))
+        changed = (~F.col("old").eqNullSafe(F.col("new"))).alias("changed")
+        return old.join(new, list(KEY)).select(*KEY, changed)
+
+    def _save(self, tier: Tier, rows: DataFrame, mode: str) -> None:
+        """The rebalance hint lets adaptive execution cut a large partition into several files and
+        gather small ones, so one busy hour is not written by one task.
+        """
+        placed = rows.select(*tier.schema.names, *_partition_columns(tier))
+        (
+            placed.hint("rebalance", *(F.col(p) for p in tier.partitions))
+            .sortWithinPartitions(*tier.partitions, "machine_id", "time")
+            .write.mode(mode)
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*tier.partitions)
+            .parquet(self.path(tier))
+        )
+
     def _scan(self, tier: Tier) -> DataFrame:
         schema = tier.schema
         for name in tier.partitions:
@@ -159,7 +203,7 @@ class TierTables:
         self._fs_mkdirs(self.path(tier))
         return self.spark.read.schema(schema).parquet(self.path(tier))
 
-    def _cells(self, tier: Tier, spans: list[tuple[datetime, datetime]]) -> DataFrame:
+    def _cells(self, tier: Tier, spans: list[Window]) -> DataFrame:
         """All rows of the partitions covering ``spans``, whose starts lie on partition edges."""
         wanted = F.lit(False)
         for start, end in spans:
@@ -203,25 +247,48 @@ class TierTables:
         fs, p = self._fs(path)
         fs.delete(p, True)
 
+    def _fs_exists(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return fs.exists(p)
+
     def _fs_list(self, path: str) -> list[str]:
         fs, p = self._fs(path)
         return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
 
 
-def touched_spans(updates: DataFrame, cell: timedelta) -> list[tuple[datetime, datetime]]:
-    """Partition spans holding ``updates``, neighbours joined.
+def _cell_index(cell: timedelta) -> Column:
+    """Number of the partition a row belongs to, counted from 1970."""
+    return F.floor(F.unix_micros("time") / F.lit(micros(cell))).alias("cell")
 
-    The driver sees one number per touched partition, never rows of data.
-    """
-    size = int(cell.total_seconds())
-    index = F.floor(F.unix_micros("time") / F.lit(size * 1_000_000))
+
+def _numbers(index: DataFrame) -> list[int]:
+    """Distinct partition numbers. The driver sees one number per touched partition, no rows."""
+    return sorted(row.cell for row in index.distinct().collect())
+
+
+def _spans(tier: Tier, cells: list[int]) -> list[Window]:
+    """Time spans of the partitions, neighbours joined."""
     spans: list[list[int]] = []
-    for row in updates.select(index.alias("cell")).distinct().orderBy("cell").collect():
-        if spans and spans[-1][1] == row.cell:
-            spans[-1][1] = row.cell + 1
+    for cell in sorted(cells):
+        if spans and spans[-1][1] == cell:
+            spans[-1][1] = cell + 1
         else:
-            spans.append([row.cell, row.cell + 1])
-    return [(EPOCH + cell * a, EPOCH + cell * b) for a, b in spans]
+            spans.append([cell, cell + 1])
+    size = _cell(tier)
+    return [(EPOCH + size * a, EPOCH + size * b) for a, b in spans]
+
+
+def _folders(tier: Tier, window: Window) -> Iterator[str]:
+    start, end = floor_to(_cell(tier), window[0]), to_utc(window[1])
+    while start < end:
+        hour = f"/hour_of_day={start.hour}" if "hour_of_day" in tier.partitions else ""
+        yield f"date={start.date().isoformat()}{hour}"
+        start += _cell(tier)
+
+
+def _partition_spec(folder: str) -> str:
+    pairs = (part.split("=") for part in folder.split("/"))
+    return ", ".join(f"{name}='{value}'" for name, value in pairs)
 
 
 def _cell(tier: Tier) -> timedelta:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators.merge import dedupe_last, merge_last
 from millrace.schemas import HOUR_TIER, KEY, MINUTE_TIER, RAW_TIER
 from millrace.sources.line_protocol import from_lines, read_line_protocol, to_lines, write_line_protocol
-from millrace.sources.tiers import TierTables, touched_spans
+from millrace.sources.tiers import TierTables, _spans
 from tests.conftest import at, rows_of
 
 
@@ -46,6 +46,9 @@ def test_catalog_tables(spark, tables, raw_rows):
     tables.write(RAW_TIER, raw_rows(("10:00:00", "m1")))
     tables.refresh("plant")
     assert spark.sql("SELECT machine_id, date FROM plant.energy_raw").first().machine_id == "m1"
+    tables.write(RAW_TIER, raw_rows(("11:00:00", "m2")))
+    tables.refresh("plant", (at("11:00:00"), at("13:00:00")))
+    assert spark.table("plant.energy_raw").count() == 2
     spark.sql("DROP DATABASE plant CASCADE")
 
 
@@ -96,14 +99,50 @@ def test_upsert_orders_copies_by_arrival(tables, raw_rows):
     assert rows_of(tables.read(RAW_TIER), "power_kw") == [(1.0,)]
 
 
-def test_touched_spans_join_neighbours(raw_rows):
-    rows = raw_rows(("09:59:59", "m1"), ("10:00:00", "m1"), ("10:30:00", "m2"), ("13:00:00", "m1"), ("1969-12-31T23:30:00", "m1"))
-    from millrace.schemas import HOUR
+def files(tables: TierTables, tier) -> set[Path]:
+    return set(Path(tables.path(tier)).rglob("*.parquet"))
+
+
+def test_upsert_appends_new_keys_and_skips_known_rows(tables, raw_rows):
+    first = raw_rows(("09:00:00", "m1"), ("10:00:00", "m1"))
+    tables.upsert(RAW_TIER, first)
+    written = files(tables, RAW_TIER)
+    tables.upsert(RAW_TIER, first)
+    assert files(tables, RAW_TIER) == written
+    tables.upsert(RAW_TIER, raw_rows(("10:00:00", "m1"), ("10:00:10", "m1"), ("1969-12-31T23:30:00", "m1")))
+    assert files(tables, RAW_TIER) > written
+    assert tables.read(RAW_TIER).count() == 4
+    tables.upsert(RAW_TIER, raw_rows(("10:00:10", "m1", "hall", 7.0), ("10:00:20", "m1"), ("11:00:00", "m1")))
+    kept = files(tables, RAW_TIER) & written
+    assert [f.parent.name for f in kept] == ["hour_of_day=9"]
+    assert rows_of(tables.read(RAW_TIER), "time", "power_kw") == [
+        ("1969-12-31 23:30:00", 1.0), ("2024-01-01 09:00:00", 1.0), ("2024-01-01 10:00:00", 1.0),
+        ("2024-01-01 10:00:10", 7.0), ("2024-01-01 10:00:20", 1.0), ("2024-01-01 11:00:00", 1.0),
+    ]
+    before = rows_of(tables.read(RAW_TIER))
+    tables.compact(RAW_TIER, at("09:00:00"), at("11:00:00"))
+    assert rows_of(tables.read(RAW_TIER)) == before
+    assert partitions(tables, RAW_TIER).count("date=2024-01-01/hour_of_day=10") == 1
+
+
+def test_upsert_of_nothing(tables, raw_rows):
+    tables.upsert(RAW_TIER, raw_rows())
+    assert tables.read(RAW_TIER).isEmpty()
+
+
+def test_merge_rewrites_its_window(tables, tier_rows):
+    tables.write(HOUR_TIER, tier_rows(("2024-01-01T10:00:00", "m1", "hall", 1.0, 1.0, 1), ("2024-01-02T10:00:00", "m1", "hall", 1.0, 1.0, 1)))
+    updates = tier_rows(("2024-01-01T10:00:00", "m1", "hall", 5.0, 1.0, 1), ("2024-01-01T11:00:00", "m1", "hall", 6.0, 1.0, 1))
+    tables.merge(HOUR_TIER, updates, (at("10:00:00"), at("12:00:00")))
+    assert rows_of(tables.read(HOUR_TIER), "time", "avg_power_kw") == [
+        ("2024-01-01 10:00:00", 5.0), ("2024-01-01 11:00:00", 6.0), ("2024-01-02 10:00:00", 1.0),
+    ]
+
 
-    spans = [(str(a)[:19], str(b)[:19]) for a, b in touched_spans(rows, HOUR)]
+def test_spans_join_neighbours():
+    spans = [(str(a)[:13], str(b)[:13]) for a, b in _spans(RAW_TIER, [473361, 473362, 473365, -1])]
     assert spans == [
-        ("1969-12-31 23:00:00", "1970-01-01 00:00:00"), ("2024-01-01 09:00:00", "2024-01-01 11:00:00"),
-        ("2024-01-01 13:00:00", "2024-01-01 14:00:00"),
+        ("1969-12-31 23", "1970-01-01 00"), ("2024-01-01 09", "2024-01-01 11"), ("2024-01-01 13", "2024-01-01 14"),
     ]
 
 

@@ -433,7 +433,8 @@ def line_protocol_roundtrip(spark, sf):
     return read_line_protocol(spark, path, MINUTE_TIER)
 
 
-# Streams, run over all there is
+# Streams, run over all there is. It comes as one batch: in several, files read in any other order
+# than that of their times would be late to each other.
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 from typing import Any
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.functions.clock import floor_to, to_utc
 from millrace.operators.cleanse import cleanse, rejected, valid_readings
 from millrace.operators.rollup import rollup_hour, rollup_minute
-from millrace.schemas import HOUR_TIER, MINUTE, MINUTE_TIER, RAW_TIER, Tier
+from millrace.schemas import HOUR_TIER, MINUTE, MINUTE_TIER, RAW_TIER, TIERS, Tier
 from millrace.sources.tiers import TierTables, Window
 
 
@@ -49,15 +49,21 @@ HOUR_JOB = RollupConfig(
 )
 
 
-def run_rollup(tables: TierTables, config: RollupConfig, now: datetime | str) -> Window:
-    """Recompute the last complete buckets within the lookback.
+# Days kept per tier name; raw and hour rows stay.
+RETENTION_DAYS = {MINUTE_TIER.name: 14}
+
+
+def run_rollup(
+    tables: TierTables, config: RollupConfig, now: datetime | str, into: TierTables | None = None
+) -> Window:
+    """Recompute the last complete buckets within the lookback; ``into`` may be other tables.
 
     Reading one closed bucket again is what lets late readings in: a bucket still counts rows
     which arrive up to ``lookback - bucket`` after it closed.
     """
     end = floor_to(config.bucket, now)
     window = (end - config.lookback, end)
-    tables.upsert(config.target, config.rows(tables, window))
+    (into or tables).upsert(config.target, config.rows(tables, window))
     return window
 
 
@@ -68,7 +74,7 @@ def checkpointed_rollup(tables: TierTables, config: RollupConfig, now: datetime
     rest. An empty window moves the mark, an error does not.
     """
     mark = tables.read_mark(config.job)
-    start = floor_to(config.bucket, mark if mark else to_utc(now) - config.offset - config.first_span)
+    start = floor_to(config.bucket, mark if mark else to_utc(now) - config.first_span)
     end = floor_to(config.bucket, to_utc(now) - config.offset)
     if end <= start:
         return None
@@ -96,6 +102,13 @@ def backfill(
             tables.merge(config.target, config.rows(tables, window), window)
 
 
+def run_retention(
+    tables: TierTables, now: datetime | str, days: Mapping[str, int] = RETENTION_DAYS
+) -> dict[str, bool]:
+    """Apply retention to the tiers named; one that fails does not stop the others."""
+    return {t.name: tables.apply_retention(t, days[t.name], now) for t in TIERS if t.name in days}
+
+
 def ingest_batch(
     tables: TierTables,
     messages: DataFrame,

@@ -13,6 +13,7 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -45,6 +46,6 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable, honouring the cluster's own setting."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        shared_dir(spark, "unused")
+    """Make ``DataFrame.checkpoint()`` usable, in the folder the cluster names."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoints"))

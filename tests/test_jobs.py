@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.rollup import rollup_hour, rollup_minute
-from millrace.plans.jobs import HOUR_JOB, MINUTE_JOB, backfill, checkpointed_rollup, ingest_batch, run_rollup
+from millrace.plans.jobs import HOUR_JOB, MINUTE_JOB, backfill, checkpointed_rollup, ingest_batch, run_retention, run_rollup
 from millrace.schemas import HOUR_TIER, MINUTE_TIER, RAW_TIER
+from millrace.sources.tiers import TierTables
 from tests.conftest import at, rows_of
 
 POWER = ("time", "machine_id", "avg_power_kw", "sample_count")
@@ -65,6 +66,27 @@ def test_backfill(tables, raw_rows, step):
     assert rows_of(tables.read(HOUR_TIER)) == rows_of(rollup_hour(minutes))
 
 
+def test_retention_job(tables, raw_rows, tier_rows):
+    tables.write(RAW_TIER, raw_rows(("10:00:00", "m1")))
+    tables.write(MINUTE_TIER, tier_rows(("10:00:00", "m1", "hall", 1.0, 1.0, 6)))
+    assert run_retention(tables, "2024-01-15 10:00:00") == {"energy_minute": True}
+    assert tables.read(MINUTE_TIER).count() == 1
+    run_retention(tables, "2024-01-15 10:00:01")
+    assert tables.read(MINUTE_TIER).isEmpty()
+    assert run_retention(tables, "2024-02-15", {"energy_raw": 14, "energy_minute": 30}) == {
+        "energy_raw": True, "energy_minute": True,
+    }
+    assert tables.read(RAW_TIER).isEmpty()
+
+
+def test_rollup_into_other_tables(spark, tables, raw_rows, tmp_path):
+    tables.write(RAW_TIER, raw_rows(("10:00:10", "m1")))
+    other = TierTables(spark, str(tmp_path / "other"))
+    run_rollup(tables, MINUTE_JOB, "2024-01-01 10:01:00", into=other)
+    assert tables.read(MINUTE_TIER).isEmpty()
+    assert other.read(MINUTE_TIER).count() == 1
+
+
 def test_custom_bucket_width(tables, raw_rows):
     from dataclasses import replace
 

@@ -125,6 +125,20 @@ def test_upsert_appends_new_keys_and_skips_known_rows(tables, raw_rows):
     assert partitions(tables, RAW_TIER).count("date=2024-01-01/hour_of_day=10") == 1
 
 
+def test_busy_hour_is_written_by_several_tasks(spark, tables):
+    rows = spark.range(200_000).selectExpr(
+        "timestamp_micros(1704067200000000 + if(id % 3 = 0, id, id * 100000)) as time", "uuid() as machine_id",
+        "'hall' as location", *(f"rand(1) as {c}" for c in ("power_kw", "energy_kwh", "voltage_v", "current_a", "power_factor")),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        tables.write(RAW_TIER, rows.repartition(8))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert partitions(tables, RAW_TIER).count("date=2024-01-01/hour_of_day=0") > 3
+    assert tables.read(RAW_TIER).count() == 200_000
+
+
 def test_upsert_of_nothing(tables, raw_rows):
     tables.upsert(RAW_TIER, raw_rows())
     assert tables.read(RAW_TIER).isEmpty()

@@ -5,19 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 
 def dedupe_last(rows: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """One whole row per key, the last by ``order_by``; ties fall to the larger values.
+    """One whole row per key, the last by ``order_by``, a timestamp or integer; null comes first.
 
-    Spark applies the rank limit before the shuffle as well, so of a key with very many copies
-    each task passes on one row.
+    A hash aggregate, so of a key with very many copies each task passes on one row. All columns
+    are picked by the same ordering, hence from the same row; of rows that tie, it is either.
     """
-    rest = [c for c in rows.columns if c not in keys and c != order_by]
-    window = W.partitionBy(*keys).orderBy(*(F.col(c).desc() for c in [order_by, *rest]))
-    return rows.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    arrival = F.col(order_by)
+    if isinstance(rows.schema[order_by].dataType, TimestampType):
+        arrival = F.unix_micros(arrival)
+    ordering = F.coalesce(arrival.cast("bigint"), F.lit(-(2**62)))
+    picked = [F.max_by(c, ordering).alias(c) for c in rows.columns if c not in (*keys, order_by)]
+    last = rows.groupBy(*keys).agg(*picked, F.max(order_by).alias(order_by))
+    return last.select(*rows.columns)
 
 
 def merge_last(old: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:

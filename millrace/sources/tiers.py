@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -38,8 +39,8 @@ _PARTITION_VALUES = {"date": utc_date, "hour_of_day": utc_hour}
 class TierTables:
     """The tiers below one root folder, which every executor must be able to reach.
 
-    A rewrite replaces whole partitions when its job commits. It is safe to repeat, but readers
-    may see the moment of the swap, and each tier must have one writer at a time.
+    A rewrite replaces whole partitions when its job commits. Readers may see the moment of the
+    swap, and each tier must have one writer at a time.
     """
 
     spark: SparkSession
@@ -112,6 +113,7 @@ class TierTables:
         """
         if order_by:
             updates = dedupe_last(updates, KEY, order_by)
+        self.recover(tier)
         folder = shared_dir(self.spark, f"upsert-{tier.name}")
         updates.select(*tier.schema.names).write.parquet(folder)
         try:
@@ -121,13 +123,22 @@ class TierTables:
 
     def compact(self, tier: Tier, start: datetime, end: datetime) -> None:
         """Rewrite the partitions of a closed range, so that appends leave few files."""
-        cell = _cell(tier)
-        self.write(tier, self._cells(tier, [(floor_to(cell, start), end)]))
+        self.recover(tier)
+        self._swap(tier, self._cells(tier, [(floor_to(_cell(tier), start), end)]))
+
+    def recover(self, tier: Tier) -> None:
+        """Finish rewrites a crash cut off. Upserts and retention do this first."""
+        for name in self._fs_list(self._pending(tier)):
+            folder = f"{self._pending(tier)}/{name}"
+            if self._fs_exists(f"{folder}/_SUCCESS"):
+                self.write(tier, self.spark.read.schema(tier.schema).parquet(folder))
+            self._fs_delete(folder)
 
     def apply_retention(self, tier: Tier, days: int, now: datetime | str) -> bool:
         """Delete rows older than ``days``. A failure is logged and reported as False."""
         cutoff = floor_to(timedelta(seconds=1), now) - timedelta(days=days)
         try:
+            self.recover(tier)
             edge = floor_to(_cell(tier), cutoff)
             self._drop_before(tier, edge)
             if cutoff > edge:
@@ -172,7 +183,7 @@ class TierTables:
             self._save(tier, appended, "append")
         if rewritten:
             old = self._cells(tier, _spans(tier, rewritten))
-            self.write(tier, merge_last(old, updates.filter(index.isin(rewritten)), KEY))
+            self._swap(tier, merge_last(old, updates.filter(index.isin(rewritten)), KEY))
 
     def _known(self, tier: Tier, updates: DataFrame, cells: list[int]) -> DataFrame:
         """Keys of ``updates`` the tier has already, and whether their values change."""
@@ -182,6 +193,18 @@ class TierTables:
         changed = (~F.col("old").eqNullSafe(F.col("new"))).alias("changed")
         return old.join(new, list(KEY)).select(*KEY, changed)
 
+    def _swap(self, tier: Tier, rows: DataFrame) -> None:
+        """Replace partitions with rows derived from them.
+
+        Replacing takes a delete and a rename. The new content is written aside first, so that a
+        crash between the two loses nothing.
+        """
+        rows.select(*tier.schema.names).write.parquet(f"{self._pending(tier)}/{uuid.uuid4().hex}")
+        self.recover(tier)
+
+    def _pending(self, tier: Tier) -> str:
+        return f"{self.root.rstrip('/')}/pending/{tier.name}"
+
     def _save(self, tier: Tier, rows: DataFrame, mode: str) -> None:
         """The rebalance hint lets adaptive execution cut a large partition into several files and
         gather small ones, so one busy hour is not written by one task.
@@ -233,7 +256,7 @@ class TierTables:
             # An overwrite without rows leaves the partition as it was.
             self._drop_before(tier, cell_end)
         else:
-            self.write(tier, kept)
+            self._swap(tier, kept)
 
     def _fs(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)

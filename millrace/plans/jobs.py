@@ -39,6 +39,7 @@ class RollupConfig:
         return rollup(tables.read(self.source, *window), *window, width=self.bucket, **self.options)
 
 
+# Lookbacks, offsets and first spans of the two jobs.
 MINUTE_JOB = RollupConfig(
     "raw_to_minute", RAW_TIER, MINUTE_TIER, MINUTE,
     lookback=timedelta(minutes=2), offset=timedelta(seconds=5), first_span=timedelta(seconds=120),
@@ -49,7 +50,7 @@ HOUR_JOB = RollupConfig(
 )
 
 
-# Days kept per tier name; raw and hour rows stay.
+# Days kept per tier name; raw and hour rows stay.
 RETENTION_DAYS = {MINUTE_TIER.name: 14}
 
 

@@ -115,7 +115,7 @@ class TierTables:
             updates = dedupe_last(updates, KEY, order_by)
         self.recover(tier)
         folder = shared_dir(self.spark, f"upsert-{tier.name}")
-        updates.select(*tier.schema.names).write.parquet(folder)
+        updates.filter(F.col("time").isNotNull()).select(*tier.schema.names).write.parquet(folder)
         try:
             self._apply(tier, self.spark.read.schema(tier.schema).parquet(folder))
         finally:
@@ -170,11 +170,13 @@ class TierTables:
 
     def _apply(self, tier: Tier, updates: DataFrame) -> None:
         index = _cell_index(_cell(tier))
-        cells = _numbers(updates.select(index))
-        known = self._known(tier, updates, cells)
-        seen = known.groupBy(index).agg(F.max("changed").alias("changed")).collect()
+        # The driver sees one row per touched partition here and below, never rows of data.
+        micros_of = F.unix_micros("time")
+        touched = updates.groupBy(index).agg(F.min(micros_of).alias("first"), F.max(micros_of).alias("last"))
+        cells = {row.cell: (row['first'], row['last']) for row in touched.collect()}
+        seen = self._known(tier, updates, cells).groupBy(index).agg(F.max("changed").alias("changed")).collect()
         rewritten = [row.cell for row in seen if row.changed]
-        overlapping = [row.cell for row in seen if not row.changed]
+        overlapping = {row.cell: cells[row.cell] for row in seen if not row.changed}
 
         appended = updates.filter(~index.isin(rewritten))
         if overlapping:
@@ -185,10 +187,17 @@ class TierTables:
             old = self._cells(tier, _spans(tier, rewritten))
             self._swap(tier, merge_last(old, updates.filter(index.isin(rewritten)), KEY))
 
-    def _known(self, tier: Tier, updates: DataFrame, cells: list[int]) -> DataFrame:
-        """Keys of ``updates`` the tier has already, and whether their values change."""
+    def _known(self, tier: Tier, updates: DataFrame, cells: dict[int, tuple[int, int]]) -> DataFrame:
+        """Keys of ``updates`` the tier has already, and whether their values change.
+
+        Partition and time bounds limit the scan. Recent files, not compacted yet, each hold a
+        short stretch of time, so that most of an hour is not read.
+        """
         values = [c for c in tier.schema.names if c not in KEY]
-        old = self._cells(tier, _spans(tier, cells)).select(*KEY, F.struct(*values).alias("old"))
+        first = F.timestamp_micros(F.lit(min((lo for lo, _ in cells.values()), default=0)))
+        last = F.timestamp_micros(F.lit(max((hi for _, hi in cells.values()), default=0)))
+        near = self._cells(tier, _spans(tier, list(cells))).filter(F.col("time").between(first, last))
+        old = near.select(*KEY, F.struct(*values).alias("old"))
         new = updates.select(*KEY, F.struct(*values).alias("new"))
         changed = (~F.col("old").eqNullSafe(F.col("new"))).alias("changed")
         return old.join(new, list(KEY)).select(*KEY, changed)
@@ -284,11 +293,6 @@ def _cell_index(cell: timedelta) -> Column:
     return F.floor(F.unix_micros("time") / F.lit(micros(cell))).alias("cell")
 
 
-def _numbers(index: DataFrame) -> list[int]:
-    """Distinct partition numbers. The driver sees one number per touched partition, no rows."""
-    return sorted(row.cell for row in index.distinct().collect())
-
-
 def _spans(tier: Tier, cells: list[int]) -> list[Window]:
     """Time spans of the partitions, neighbours joined."""
     spans: list[list[int]] = []

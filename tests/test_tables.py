@@ -167,6 +167,7 @@ def test_crash_between_delete_and_rename_loses_nothing(tables, raw_rows, monkeyp
 
 def test_upsert_of_nothing(tables, raw_rows):
     tables.upsert(RAW_TIER, raw_rows())
+    tables.upsert(RAW_TIER, raw_rows((None, "m1")))
     assert tables.read(RAW_TIER).isEmpty()
 
 

@@ -20,9 +20,23 @@ def half_up(value: Column, digits: int) -> Column:
     return F.floor(value * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
-def parse_number(text: Column) -> Column:
-    """Prefix parse; null where the text does not start with a number."""
-    return F.regexp_extract(text, NUMBER_PREFIX, 1).try_cast("double")
+def whole_number(text: Column) -> Column:
+    """The text as a plain number, by a cast, which is faster than the pattern.
+
+    Hexadecimal floats, which the cast would read, are left out.
+    """
+    return F.when(~(text.contains("x") | text.contains("X")), text.try_cast("double"))
+
+
+def parse_number(text: Column, whole: Column | None = None) -> Column:
+    """Prefix parse; null where the text does not start with a number.
+
+    What the cast does not read, or reads from a word for infinity or NaN, is left to the pattern.
+    ``whole`` may be a column that holds :func:`whole_number` already.
+    """
+    whole = whole_number(text) if whole is None else whole
+    prefix = F.regexp_extract(text, NUMBER_PREFIX, 1).try_cast("double")
+    return F.when(is_finite(whole), whole).otherwise(prefix)
 
 
 def is_finite(value: Column) -> Column:

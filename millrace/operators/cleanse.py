@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.clock import utc_date
-from millrace.functions.numeric import is_finite, parse_number
+from millrace.functions.numeric import is_finite, parse_number, whole_number
 from millrace.schemas import MEASURES, RAW_SCHEMA, TAGS
 
 REQUIRED = (*TAGS, *MEASURES)
@@ -46,15 +46,21 @@ def check_required(rows: DataFrame) -> DataFrame:
 
 def coerce_numeric(rows: DataFrame) -> DataFrame:
     """Read the measures as doubles; text that is no number, then an infinite value, rejects the row."""
-    rows = rows.withColumns({m: parse_number(F.col(m)) for m in MEASURES})
+    # In two steps, as an expression that names a column twice computes it twice.
+    wholes = {f"_{m}": whole_number(F.col(m)) for m in MEASURES}
+    numbers = {m: parse_number(F.col(m), F.col(f"_{m}")) for m in MEASURES}
+    rows = rows.withColumns(wholes).withColumns(numbers).drop(*wholes)
     checks = [F.when(F.col(m).isNull(), F.lit(f"nan:{m}")) for m in MEASURES]
     checks += [F.when(~is_finite(F.col(m)), F.lit(f"non_finite:{m}")) for m in MEASURES]
     return _reject(rows, checks)
 
 
-def event_time(text: Column, received_at: Column) -> Column:
-    """ISO text or epoch milliseconds; anything else takes the arrival time."""
-    ms = text.try_cast("bigint")
+def event_time(text: Column, received_at: Column, ms: Column | None = None) -> Column:
+    """ISO text or epoch milliseconds; anything else takes the arrival time.
+
+    ``ms`` may be a column that holds the text as an integer already.
+    """
+    ms = text.try_cast("bigint") if ms is None else ms
     in_range = (ms != 0) & ms.between(-_MAX_DATE_MS, _MAX_DATE_MS)
     # A bare "12:30" would be taken as a time of the day the job runs on.
     is_date = text.rlike(r"^\s*\d{4}-")
@@ -67,7 +73,8 @@ def event_time(text: Column, received_at: Column) -> Column:
 
 def normalize_time(rows: DataFrame, max_future_skew: timedelta | None = None) -> DataFrame:
     """Add ``time``. With ``max_future_skew`` a reading dated too far ahead is rejected."""
-    rows = rows.withColumn("time", event_time(F.col("timestamp"), F.col("received_at")))
+    rows = rows.withColumn("_ms", F.col("timestamp").try_cast("bigint"))
+    rows = rows.withColumn("time", event_time(F.col("timestamp"), F.col("received_at"), F.col("_ms"))).drop("_ms")
     if max_future_skew is None:
         return rows
     ahead = F.col("time") > F.col("received_at") + F.lit(max_future_skew)
@@ -76,19 +83,19 @@ def normalize_time(rows: DataFrame, max_future_skew: timedelta | None = None) ->
 
 def cleanse(messages: DataFrame, max_future_skew: timedelta | None = None) -> DataFrame:
     """All checks in order, in one pass without a shuffle."""
-    return _computed_once(normalize_time(coerce_numeric(check_required(parse_payload(messages))), max_future_skew))
+    return normalize_time(coerce_numeric(check_required(parse_payload(messages))), max_future_skew)
 
 
 def valid_readings(checked: DataFrame) -> DataFrame:
     """Good rows in raw layout, with the arrival time kept to order copies of a key."""
-    return checked.filter(F.col("reject_reason").isNull()).select(*RAW_SCHEMA.names, "received_at")
+    return _where(checked, F.col("reject_reason").isNull(), *RAW_SCHEMA.names, "received_at")
 
 
 def rejected(checked: DataFrame) -> DataFrame:
     """Bad messages as they came, with the reason."""
-    return checked.filter(F.col("reject_reason").isNotNull()).select(
-        "topic", "payload", "received_at", "reject_reason", utc_date(F.col("received_at")).alias("date")
-    )
+    columns = ("topic", "payload", "received_at", "reject_reason")
+    bad = _where(checked, F.col("reject_reason").isNotNull(), *columns)
+    return bad.withColumn("date", utc_date(F.col("received_at")))
 
 
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -111,13 +118,13 @@ def rule_project(messages: DataFrame) -> DataFrame:
     )
 
 
-def _computed_once(rows: DataFrame) -> DataFrame:
-    """Keep later filters from repeating the parse.
+def _where(rows: DataFrame, condition: Column, *columns: str) -> DataFrame:
+    """``columns`` of the rows that meet the condition, without repeating the parse.
 
     A filter on a computed column is pushed below it with the whole expression copied in, here the
-    JSON parse some twenty times. It does not pass a generator, even one of a single row.
+    JSON parse some twenty times. A generator, which yields one row or none, stays in its place.
     """
-    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+    return rows.select(F.inline(F.when(condition, F.array(F.struct(*columns)))))
 
 
 def _reject(rows: DataFrame, checks: list[Column]) -> DataFrame:

@@ -118,7 +118,11 @@ def ingest_batch(
     max_future_skew: timedelta | None = None,
 ) -> None:
     """Clean messages into the raw tier, the rest into the quarantine folder."""
-    checked = cleanse(messages, max_future_skew).persist()
+    checked = cleanse(messages, max_future_skew)
+    # Both outputs come from one parse. Of good messages only the readings are kept.
+    bad = F.col("reject_reason").isNotNull()
+    texts = {c: F.when(bad, F.col(c)).alias(c) for c in ("topic", "payload")}
+    checked = checked.withColumns(texts).drop("timestamp").persist()
     try:
         write_quarantine(rejected(checked), quarantine, batch)
         tables.upsert(RAW_TIER, valid_readings(checked), order_by="received_at")

@@ -36,6 +36,8 @@ def text(spark, column):
     [
         ("12.5", 12.5), ("12.5kW", 12.5), (" 7", 7.0), ("1e3", 1000.0), ("1e", 1.0), ("-.5", -0.5), ("5.", 5.0),
         ("0x10", 0.0), ("1_000", 1.0), ("Infinity", float("inf")), ("-Infinity", float("-inf")),
+        ("12.5d", 12.5), ("3f", 3.0), ("inf", None), ("nan", None), ("0x1p3", 0.0), ("0X1P3", 0.0), ("1e999", float("inf")),
+        ("8 ", 8.0), ("+4", 4.0), ("1e-3V", 0.001), ("infinity", None),
         ("", None), ("abc", None), ("true", None), ("NaN", None), ('{"z":1}', None), ("[3,4]", None), (None, None),
     ],
 )

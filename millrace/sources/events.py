@@ -29,11 +29,17 @@ def readings(source: DataFrame, pace: str = "fast", fleet: bool = False, extra:
     ``pace="fast"`` squeezes the 30 days into 12 hours, so that minutes hold several readings;
     ``"wide"`` keeps the times. ``fleet`` makes every user a machine in place of five machines.
     """
-    return source.select(*reading_columns(pace, fleet), *extra).select(*RAW_SCHEMA.names, *extra)
+    return _with_k(source).select(*reading_columns(pace, fleet), *extra).select(*RAW_SCHEMA.names, *extra)
+
+
+def _with_k(source: DataFrame) -> DataFrame:
+    """The number in ``props``, in a column of its own, as two measures need it."""
+    return source.withColumn("_k", F.get_json_object("props", "$.k").cast("int"))
 
 
 def reading_columns(pace: str = "fast", fleet: bool = False) -> list[Column]:
-    k = F.get_json_object("props", "$.k").cast("int")
+    """Columns of a reading, over events with ``_k``."""
+    k = F.col("_k")
     number = F.col("user_id") % F.lit(len(LOCATIONS))
     machine = F.col("user_id") if fleet else number + 1
     location = F.element_at(F.array(*(F.lit(x) for x in LOCATIONS)), (number + 1).cast("int"))
@@ -54,7 +60,7 @@ def messages(source: DataFrame, pace: str = "fast") -> DataFrame:
 
     Every event gives one message; its number only picks how the payload is written.
     """
-    clean = source.select("event_id", *reading_columns(pace))
+    clean = _with_k(source).select("event_id", *reading_columns(pace))
     kind = F.col("event_id") % 13
     power = F.col("power_kw").cast("string")
     fields = {
@@ -109,7 +115,7 @@ def _time(pace: str) -> Column:
 
 def batched_messages(source: DataFrame, pace: str = "fast") -> DataFrame:
     """Every event as one message of two readings, ten seconds apart."""
-    clean = source.select(*reading_columns(pace))
+    clean = _with_k(source).select(*reading_columns(pace))
 
     def reading(sent: Column) -> Column:
         measures = ("power_kw", "voltage_v", "current_a", "energy_kwh", "power_factor")

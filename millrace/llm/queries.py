@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import line_dedup, quality_rules
+from millrace.llm import jaccard_join, line_dedup, quality_rules
 from millrace.llm.common import raw_bytes, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op1_line_dedup(spark, sf):
 @query
 def op8_quality_rules(spark, sf):
     return quality_rules.measure(table(spark, sf, "documents"))
+
+
+@query
+def op10_jaccard_join(spark, sf):
+    return jaccard_join.components(table(spark, sf, "documents"))

@@ -5,12 +5,15 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import jaccard_join, line_dedup, quality_rules
-from millrace.llm.common import raw_bytes, table
+from millrace.llm import jaccard_join, line_dedup, packing, quality_rules
+from millrace.llm.common import batch_of, raw_bytes, table
+from millrace.llm.tokens import crc_of, id_type, token_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,3 +47,35 @@ def op8_quality_rules(spark, sf):
 @query
 def op10_jaccard_join(spark, sf):
     return jaccard_join.components(table(spark, sf, "documents"))
+
+
+@query
+def op5_packing(spark, sf):
+    return packed(table(spark, sf, "documents"))
+
+
+def packed(docs: DataFrame, path: str | None = None, end_id: int = 2) -> DataFrame:
+    """Pieces of all documents with the checksum of their ids."""
+    path = path or public_tokenizers.path("word_bpe_49k.json")
+    tokens, dtype = token_table(docs, path, end_id), id_type(path)
+    pieces = packing.pack(tokens).groupBy("part", "seq").agg(
+        F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces")
+    )
+    rows = tokens.join(pieces, ["part", "seq"]).select("doc_id", "n_tokens", "ids", "pieces")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, n, raw, cuts in zip(*(c.to_pylist() for c in batch.columns)):
+                ids = np.frombuffer(raw, dtype)
+                for p in sorted(cuts, key=lambda p: p["start"]):
+                    a, b = p["start"], p["start"] + p["length"]
+                    out.append((doc, a, b - a, crc_of(ids[a:b]), n, p["sequence_id"], p["offset"]))
+            yield batch_of(PIECES, dict(zip(PIECES.names, zip(*out)))) if out else PIECES.empty_table().to_batches()[0]
+
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in PIECES.names))
+
+
+PIECES = pa.schema(
+    [(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
+)

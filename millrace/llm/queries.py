@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import jaccard_join, line_dedup, packing, quality_rules
+from millrace.llm import huffman, jaccard_join, line_dedup, mixing, packing, quality_rules
 from millrace.llm.common import batch_of, raw_bytes, table
 from millrace.llm.tokens import crc_of, id_type, token_table
 
@@ -79,3 +79,16 @@ def packed(docs: DataFrame, path: str | None = None, end_id: int = 2) -> DataFra
 PIECES = pa.schema(
     [(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
 )
+
+
+@query
+def op6_token_files(spark, sf):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokens = token_table(table(spark, sf, "documents"), path, end_id=0)
+    return huffman.read_ids(huffman.write_ids(tokens, id_type(path)))
+
+
+@query
+def op7_mixing(spark, sf):
+    rows = mixing.weigh(table(spark, sf, "documents"))
+    return rows.select("doc_id", "source", "lang", "mix_topic", "mix_tokens", "mix_probability", "mix_kept")

@@ -152,7 +152,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     Documents that lose lines and have no word left are dropped.
     """
     marked = with_bitmaps(docs, min_chars=min_chars, min_docs=min_docs)
-    text, n_chars_at = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    names = docs.columns
+    text, n_chars_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,6 +169,6 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
                 cut_here = batch.columns[-1].is_valid().to_pylist()
                 counts = [len(t) if c else n for t, c, n in zip(texts, cut_here, old.to_pylist())]
                 columns[n_chars_at] = pa.array(counts, old.type)
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns).filter(pa.array(stay, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(stay, pa.bool_()))
 
     return marked.mapInArrow(run, docs.schema)

@@ -47,5 +47,17 @@ SELECT d.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles,
        least(d.doc_id, min(c.doc_id))::BIGINT AS class_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reach r ON r.u = d.doc_id
 LEFT JOIN sets e ON e.doc_id = d.doc_id LEFT JOIN sets c ON c.s = e.s GROUP BY d.doc_id
+""",
+    "op2_topk_search": r"""
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM whole q JOIN whole c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scores
+)
+SELECT * FROM ranked WHERE rank <= 10
 """,
 }

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import huffman, jaccard_join, line_dedup, mixing, packing, quality_rules
+from millrace.llm import grade_model, huffman, jaccard_join, line_dedup, mixing, packing, quality_rules, topk_search
 from millrace.llm.common import batch_of, raw_bytes, table
 from millrace.llm.tokens import crc_of, id_type, token_table
 
@@ -92,3 +92,14 @@ def op6_token_files(spark, sf):
 def op7_mixing(spark, sf):
     rows = mixing.weigh(table(spark, sf, "documents"))
     return rows.select("doc_id", "source", "lang", "mix_topic", "mix_tokens", "mix_probability", "mix_kept")
+
+
+@query
+def op2_topk_search(spark, sf):
+    return topk_search.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op9_grade_model(spark, sf):
+    docs = table(spark, sf, "documents")
+    return grade_model.score(docs, grade_model.train(docs, table(spark, sf, "labels")))

@@ -6,7 +6,7 @@ get their expected grade and the probability of each grade or a better one, and
 that of the best grade is at least ``least``.
 
 The fit uses at most ``rows`` labelled documents, those with the smallest hashes of their ids; all
-documents are scored over their whole texts. Null text has no features and gets the prior; rows with null labels or
+documents are scored over their whole texts. Features of fewer than ``floor`` of them get no weight. Null text has no features and gets the prior; rows with null labels or
 doc_id are not learnt from. With fewer than two grades the model is the prior. Repeated rows are scored each; extra columns are ignored.
 """
 
@@ -31,9 +31,10 @@ EDGES = b".,;:!?\"'()[]"
 class Fit:
     rows: int = 8_000
     features: int = 1 << 17
-    penalty: float = 2e-6
-    rounds: int = 120
-    least: float = 0.5
+    floor: int = 8
+    penalty: float = 1e-3
+    rounds: int = 150
+    least: float = 0.4
 
 
 @dataclass(frozen=True)
@@ -121,6 +122,8 @@ def learn(grade: np.ndarray, ids: list[np.ndarray], values: list[np.ndarray], fi
         return Model(weights, thresholds)
     column, value = np.concatenate(ids), np.concatenate(values).astype(np.float64)
     row = np.repeat(np.arange(len(grade)), [len(i) for i in ids])
+    common = np.bincount(column, minlength=fit.features)[column] >= min(fit.floor, len(grade))
+    column, value, row = column[common], value[common], row[common]
     m, v = np.zeros(fit.features + GRADES - 1), np.zeros(fit.features + GRADES - 1)
     edges = lambda t: np.r_[-np.inf, t, np.inf]
     for step in range(1, fit.rounds + 1):

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import grade_model, huffman, jaccard_join, line_dedup, mixing, packing, quality_rules, suffix_dedup, topk_search
+from millrace.llm import grade_model, huffman, jaccard_join, line_dedup, mixing, packing, passages, quality_rules, suffix_dedup, topk_search
 from millrace.llm.common import batch_of, raw_bytes, table
 from millrace.llm.tokens import crc_of, id_type, token_table
 
@@ -109,3 +109,8 @@ def op9_grade_model(spark, sf):
 def op3_suffix_dedup(spark, sf):
     cut = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op4_passages(spark, sf):
+    return passages.near_passages(table(spark, sf, "documents"))

@@ -34,10 +34,11 @@ def put(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
     files.move(rough, f"{root}/{name}")
 
 
-def get(folder: str, name: str):
+def get(folder: str, name: str) -> dict[str, np.ndarray]:
     files, root = fs.FileSystem.from_uri(folder)
     with files.open_input_file(f"{root}/{name}") as file:
-        return np.load(io.BytesIO(zstandard.ZstdDecompressor().decompress(file.read())))
+        held = np.load(io.BytesIO(zstandard.ZstdDecompressor().decompress(file.read())))
+    return {key: held[key] for key in held.files}
 
 
 def write_blocks(docs: DataFrame, size: int = BLOCK) -> DataFrame:

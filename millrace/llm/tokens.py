@@ -21,6 +21,10 @@ from tokenizers import Tokenizer
 from millrace.llm.common import kept
 
 
+#: Letters below have one lower-case letter each, whatever stands beside them, and are composed already.
+LATIN_END = "\u0130"
+
+
 class Unsafe(Exception):
     """A chunk whose ids may depend on its neighbours."""
 
@@ -28,18 +32,24 @@ class Unsafe(Exception):
 class Remembered(dict):
     """Ids by chunk, in two generations: when the young one is full, it replaces the old one."""
 
-    LIMIT = 250_000
+    LIMIT = 300_000
 
-    def __init__(self, encode, prefix: str = ""):
+    def __init__(self, coder: Encoder, prefix: str = ""):
         super().__init__()
-        self.encode, self.prefix, self.old = encode, prefix, {}
+        self.coder, self.prefix, self.old = coder, prefix, {}
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.old.get(chunk)
         if ids is None:
             if not chunk or chunk != chunk.strip():
                 raise Unsafe
-            ids = self.encode(self.prefix + chunk)
+            core = chunk.rstrip(".,")
+            if core != chunk and core and core[-1].isalpha():  # punctuation after a letter is a piece of its own
+                ids = self[core] + self.coder.marks[chunk[len(core) :]]
+            elif chunk.isalpha() and max(chunk) < LATIN_END:
+                ids = self.coder.letters(self.prefix, chunk)
+            else:
+                ids = self.coder.whole(self.prefix + chunk)
         if len(self) >= self.LIMIT:
             self.old = dict(self)
             self.clear()
@@ -47,9 +57,31 @@ class Remembered(dict):
         return ids
 
 
+class Marks(dict):
+    """Ids of runs of full stops and commas."""
+
+    def __init__(self, coder: Encoder):
+        super().__init__()
+        self.coder = coder
+
+    def __missing__(self, run: str) -> bytes:
+        ids = self.coder.whole(run)
+        if len(run) < 16:
+            self[run] = ids
+        return ids
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The letters that byte-level models write bytes with: printable ones as they are, others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         with open(path) as file:
             spec = json.load(file)
@@ -60,12 +92,19 @@ class Encoder:
             self.encode = self.by_words
         else:
             self.encode = self.whole
-        self.first, self.inner = Remembered(self.whole), Remembered(self.whole, " ")
+        self.lower = self.encode == self.by_words
+        self.marks = Marks(self)
+        self.first, self.inner = Remembered(self), Remembered(self, " ")
         self.breaks: dict[tuple[int, bool], bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def letters(self, prefix: str, word: str) -> bytes:
+        """Ids of Latin letters: one piece, which the model itself can cut without the steps before it."""
+        raw = (prefix + (word.lower() if self.lower else word)).encode().decode("latin-1").translate(self.alphabet)
+        return np.array([t.id for t in self.model.tokenize(raw)], self.dtype).tobytes()
+
     def by_words(self, text: str) -> bytes:
         """For tokenizers that drop white space: pieces never reach across it."""
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to Python only

@@ -15,9 +15,15 @@ def zero_fill(value: Column) -> Column:
 
 
 def half_up(value: Column, digits: int) -> Column:
-    """Round halves towards plus infinity: -2.5 gives -2 and, in binary, 1.005 gives 1.0."""
+    """Round halves towards plus infinity: -2.5 gives -2 and, in binary, 1.005 gives 1.0.
+
+    ``floor`` of a double is a BIGINT, so values whose scaled size a double holds without a fraction,
+    from 2^52 on, stay as they are, and so do NaN and infinities.
+    """
     scale = float(10**digits)
-    return F.floor(value * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    scaled = value * F.lit(scale)
+    rounded = F.floor(scaled + F.lit(0.5)) / F.lit(scale)
+    return F.when(F.abs(scaled) < F.lit(float(2**52)), rounded).otherwise(value)
 
 
 def whole_number(text: Column) -> Column:

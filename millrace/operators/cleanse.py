@@ -15,6 +15,8 @@ REQUIRED = (*TAGS, *MEASURES)
 
 # Every field as text: numbers are coerced later, so that "12.5kW" is not lost here.
 _PAYLOAD_SCHEMA = ", ".join(f"`{f}` string" for f in (*REQUIRED, "timestamp", "_corrupt"))
+_FIELDS = ", ".join(f"`{f}`: string" for f in (*REQUIRED, "timestamp"))
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 # Largest distance from 1970 a JavaScript date can hold.
 _MAX_DATE_MS = 8_640_000_000_000_000
@@ -25,15 +27,17 @@ def parse_payload(messages: DataFrame) -> DataFrame:
 
     An array, number or text is valid JSON without fields, so its first field is missing.
     """
-    parsed = messages.withColumn(
-        "_json", F.from_json("payload", _PAYLOAD_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"})
-    )
-    other_json = F.expr("try_parse_json(payload)").isNotNull() & (F.trim("payload") != "null")
-    corrupt = F.col("_json._corrupt").isNotNull()
-    # The parser stops at the closing brace; anything but blanks after it is an error.
-    cut_short = ~F.endswith(F.rtrim(F.coalesce("payload", F.lit("")), F.lit(" \t\r\n")), F.lit("}"))
-    reason = F.when(corrupt & other_json, F.lit(f"missing:{REQUIRED[0]}")).when(
-        corrupt | cut_short, F.lit("bad_json")
+    # As an array of one, so that the parser reads to the end: a second object or text after the first one shows.
+    text = F.trim(F.coalesce("payload", F.lit("")), F.lit(" \t\r\n"))
+    parsed = messages.withColumn("_text", text).withColumn(
+        "_list", F.from_json(F.concat(F.lit("["), "_text", F.lit("]")), f"array<struct<{_FIELDS}>>", _STRICT)
+    ).withColumn("_json", F.get("_list", F.lit(0)))
+    other_json = F.expr("try_parse_json(_text)").isNotNull() & ~F.col("_text").startswith("{") & (F.col("_text") != "null")
+    # "{...}],[{...}" would close the array and open another one.
+    one_object = (F.size("_list") == 1) & F.col("_text").startswith("{") & F.endswith("_text", F.lit("}"))
+    reopened = F.col("_text").rlike(r"\}\s*\]\s*,\s*\[\s*\{")
+    reason = F.when(other_json, F.lit(f"missing:{REQUIRED[0]}")).when(
+        ~F.coalesce(one_object & F.col("_json").isNotNull(), F.lit(False)) | reopened, F.lit("bad_json")
     )
     fields = [F.col(f"_json.{f}").alias(f) for f in (*REQUIRED, "timestamp")]
     return parsed.select(*messages.columns, *fields, reason.alias("reject_reason"))
@@ -56,11 +60,11 @@ def coerce_numeric(rows: DataFrame) -> DataFrame:
 
 
 def event_time(text: Column, received_at: Column, ms: Column | None = None) -> Column:
-    """ISO text or epoch milliseconds; anything else takes the arrival time.
+    """ISO text or epoch milliseconds, their fraction cut off; anything else takes the arrival time.
 
-    ``ms`` may be a column that holds the text as an integer already.
+    ``ms`` may be a column that holds :func:`epoch_ms` of the text already.
     """
-    ms = text.try_cast("bigint") if ms is None else ms
+    ms = epoch_ms(text) if ms is None else ms
     in_range = (ms != 0) & ms.between(-_MAX_DATE_MS, _MAX_DATE_MS)
     # A bare "12:30" would be taken as a time of the day the job runs on.
     is_date = text.rlike(r"^\s*\d{4}-")
@@ -71,9 +75,19 @@ def event_time(text: Column, received_at: Column, ms: Column | None = None) -> C
     )
 
 
+def epoch_ms(text: Column) -> Column:
+    """The text as whole milliseconds: an integer, or a decimal within the range of dates.
+
+    The JSON parser writes decimals with an exponent, so that form counts too.
+    """
+    decimal = F.when(text.rlike(r"^\s*[+-]?\d+(\.\d*)?([eE][+]?\d+)?\s*$"), text.try_cast("double"))
+    cut = F.when(F.abs(decimal) <= F.lit(float(_MAX_DATE_MS)), decimal.cast("bigint"))
+    return F.coalesce(text.try_cast("bigint"), cut)
+
+
 def normalize_time(rows: DataFrame, max_future_skew: timedelta | None = None) -> DataFrame:
     """Add ``time``. With ``max_future_skew`` a reading dated too far ahead is rejected."""
-    rows = rows.withColumn("_ms", F.col("timestamp").try_cast("bigint"))
+    rows = rows.withColumn("_ms", epoch_ms(F.col("timestamp")))
     rows = rows.withColumn("time", event_time(F.col("timestamp"), F.col("received_at"), F.col("_ms"))).drop("_ms")
     if max_future_skew is None:
         return rows

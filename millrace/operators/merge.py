@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +33,12 @@ def merge_last(old: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataF
     """
     values = [c for c in old.columns if c not in keys]
     new = updates.select(*keys, F.struct(*values).alias("_new"))
-    joined = old.join(new, list(keys), "full_outer")
+    # Null tags are keys like others, so sides meet null-safely.
+    new = new.select(*(F.col(k).alias(f"_key_{k}") for k in keys), "_new")
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
+    joined = old.withColumn("_old", F.lit(True)).join(new, same, "full_outer")
     merged = [
         F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in values
     ]
-    return joined.select(*keys, *merged).select(*old.columns)
+    named = [F.when(F.col("_old"), F.col(k)).otherwise(F.col(f"_key_{k}")).alias(k) for k in keys]
+    return joined.select(*named, *merged).select(*old.columns)

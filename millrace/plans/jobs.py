@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
@@ -114,10 +115,15 @@ def ingest_batch(
     tables: TierTables,
     messages: DataFrame,
     quarantine: str,
-    batch: str = "0",
+    batch: str | None = None,
     max_future_skew: timedelta | None = None,
 ) -> None:
-    """Clean messages into the raw tier, the rest into the quarantine folder."""
+    """Clean messages into the raw tier, the rest into the quarantine folder.
+
+    ``batch`` names the call: one that runs again under its name replaces its own rejects. Without
+    a name every call is a batch of its own, so rejects of earlier ones stay.
+    """
+    batch = batch or uuid.uuid4().hex
     checked = cleanse(messages, max_future_skew)
     # Both outputs come from one parse. Of good messages only the readings are kept.
     bad = F.col("reject_reason").isNotNull()

@@ -7,6 +7,8 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,6 +115,9 @@ class TierTables:
         """
         if order_by:
             updates = dedupe_last(updates, KEY, order_by)
+        else:  # copies would be stored twice; without an arrival time the greatest row stands for them
+            values = [c for c in tier.schema.names if c not in KEY]
+            updates = updates.groupBy(*KEY).agg(F.max(F.struct(*values)).alias("_row")).select(*KEY, "_row.*")
         self.recover(tier)
         folder = shared_dir(self.spark, f"upsert-{tier.name}")
         updates.filter(F.col("time").isNotNull()).select(*tier.schema.names).write.parquet(folder)
@@ -180,7 +185,7 @@ class TierTables:
 
         appended = updates.filter(~index.isin(rewritten))
         if overlapping:
-            appended = appended.join(self._known(tier, updates, overlapping), list(KEY), "left_anti")
+            appended = _meet(appended, self._known(tier, updates, overlapping), "left_anti")
         if len(rewritten) < len(cells):
             self._save(tier, appended, "append")
         if rewritten:
@@ -200,7 +205,7 @@ class TierTables:
         old = near.select(*KEY, F.struct(*values).alias("old"))
         new = updates.select(*KEY, F.struct(*values).alias("new"))
         changed = (~F.col("old").eqNullSafe(F.col("new"))).alias("changed")
-        return old.join(new, list(KEY)).select(*KEY, changed)
+        return _meet(old, new, "inner").select(*KEY, changed)
 
     def _swap(self, tier: Tier, rows: DataFrame) -> None:
         """Replace partitions with rows derived from them.
@@ -344,3 +349,10 @@ def _not_after(tier: Tier, end: Column) -> Column:
     if "hour_of_day" not in tier.partitions:
         return F.col("date") <= day
     return (F.col("date") < day) | ((F.col("date") == day) & (F.col("hour_of_day") <= utc_hour(last)))
+
+
+def _meet(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join by key, where a null tag equals a null tag; the key columns of ``left`` stay."""
+    right = right.select(*(F.col(k).alias(f"_key_{k}") for k in KEY), *(c for c in right.columns if c not in KEY))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in KEY))
+    return left.join(right, same, how).drop(*(f"_key_{k}" for k in KEY))

@@ -7,11 +7,12 @@ past good data: give ``ingest_stream`` a ``max_future_skew`` to keep such readin
 
 from __future__ import annotations
 
+import hashlib
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from millrace.operators.rollup import finish_rollup, hour_measures, minute_measures, tag_columns
 from millrace.plans.jobs import ingest_batch
@@ -73,10 +74,15 @@ def ingest_stream(
     every: timedelta | None = None,
     max_future_skew: timedelta | None = None,
 ) -> StreamingQuery:
-    """Clean messages into the raw tier as they arrive. A repeated batch changes nothing."""
+    """Clean messages into the raw tier as they arrive. A repeated batch changes nothing.
+
+    Batches are named by checkpoint and number, so streams with checkpoints of their own, which all
+    count from zero, keep their rejects apart.
+    """
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(tables, batch, quarantine, str(batch_id), max_future_skew)
+        ingest_batch(tables, batch, quarantine, f"{stream}-{batch_id}", max_future_skew)
 
     return _start(messages, ingest, checkpoint, "append", every)
 
@@ -86,8 +92,35 @@ def start_minute_updates(raw: DataFrame, tables: TierTables, checkpoint: str, **
     return start_rollup(minute_stream(raw), tables, MINUTE_TIER, checkpoint, mode="update", **options)
 
 
+class LateRows(StreamingQueryListener):
+    """Counts the rows that watermarks keep out, over all progress of each query.
+
+    ``spark.streams.addListener`` it before the query starts; ``count`` takes the query's ``id``.
+    """
+
+    def __init__(self):
+        self.counts: dict[str, int] = {}
+
+    def count(self, query_id: str) -> int:
+        return self.counts.get(str(query_id), 0)
+
+    def onQueryStarted(self, event) -> None:
+        self.counts.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        key = str(event.progress.id)
+        dropped = sum(state.numRowsDroppedByWatermark for state in event.progress.stateOperators)
+        self.counts[key] = self.counts.get(key, 0) + dropped
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def dropped_late_rows(query: StreamingQuery) -> int:
-    """Input rows the watermark kept out, as far as the query's recent progress goes."""
+    """Input rows the watermark kept out in the query's recent progress, which Spark limits; :class:`LateRows` counts all."""
     states = (state for progress in query.recentProgress for state in progress["stateOperators"])
     return sum(state["numRowsDroppedByWatermark"] for state in states)
 

@@ -61,8 +61,10 @@ def hour_label(time: Column) -> Column:
 
 
 def iso_string(time: Column) -> Column:
-    """``2026-06-30T08:00:00.000Z``; needs a UTC session."""
-    return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """``2026-06-30T08:00:00.000Z``, in any session."""
+    ms = F.floor(F.pmod(F.unix_micros(time), F.lit(_DAY_US)) / F.lit(1000))
+    parts = [F.floor(ms / F.lit(unit)) % F.lit(size) for unit, size in ((3_600_000, 24), (60_000, 60), (1000, 60), (1, 1000))]
+    return F.concat(utc_date(time).cast("string"), F.format_string("T%02d:%02d:%02d.%03dZ", *parts))
 
 
 def unix_nanos(time: Column) -> Column:

@@ -30,14 +30,16 @@ def latest_reading(
     prefix: str = "latest_",
     ordered: bool = True,
 ) -> DataFrame:
-    """Last value of each measure per machine; readings are unique by key, so all come from one row."""
-    last = [F.max_by(m, "time").alias(f"{prefix}{m}") for m in measures]
+    """Last value of each measure per group, all from one row: of rows at one time, that of the greatest other tag."""
+    others = [t for t in TAGS if t not in by]
+    order = F.struct("time", *others) if others else F.col("time")
+    last = [F.max_by(m, order).alias(f"{prefix}{m}") for m in measures]
     grouped = since(raw, now, freshness).groupBy(*by).agg(*last, F.max("time").alias("last_seen"))
     return grouped.orderBy(*by) if ordered else grouped
 
 
-def minute_trend(minute: DataFrame, now: Instant, span: timedelta = HOUR) -> DataFrame:
-    return since(minute, now, span).select(
+def minute_trend(minute: DataFrame, now: Instant, span: timedelta = HOUR, ordered: bool = True) -> DataFrame:
+    trend = since(minute, now, span).select(
         F.col("time").alias("bucket"),
         *TAGS,
         "avg_power_kw",
@@ -46,11 +48,12 @@ def minute_trend(minute: DataFrame, now: Instant, span: timedelta = HOUR) -> Dat
         "avg_power_factor",
         "min_power_kw",
         "max_power_kw",
-    ).orderBy("machine_id", "bucket")
+    )
+    return trend.orderBy("machine_id", "bucket") if ordered else trend
 
 
-def hourly_report(hour: DataFrame, now: Instant, days: int = 7) -> DataFrame:
-    return since(hour, now, timedelta(days=days)).select(
+def hourly_report(hour: DataFrame, now: Instant, days: int = 7, ordered: bool = True) -> DataFrame:
+    report = since(hour, now, timedelta(days=days)).select(
         F.col("time").alias("hour_bucket"),
         *TAGS,
         "sum_energy_kwh",
@@ -58,11 +61,12 @@ def hourly_report(hour: DataFrame, now: Instant, days: int = 7) -> DataFrame:
         "max_power_kw",
         "avg_power_factor",
         "sample_count",
-    ).orderBy("machine_id", "hour_bucket")
+    )
+    return report.orderBy("machine_id", "hour_bucket") if ordered else report
 
 
-def daily_summary(hour: DataFrame, now: Instant, days: int = 30) -> DataFrame:
-    return (
+def daily_summary(hour: DataFrame, now: Instant, days: int = 30, ordered: bool = True) -> DataFrame:
+    summary = (
         since(hour, now, timedelta(days=days))
         .groupBy(date_bin(DAY, F.col("time")).alias("day"), *TAGS)
         .agg(
@@ -72,13 +76,13 @@ def daily_summary(hour: DataFrame, now: Instant, days: int = 30) -> DataFrame:
             F.avg("avg_power_factor").alias("avg_power_factor"),
             F.sum("sample_count").alias("total_samples"),
         )
-        .orderBy("machine_id", "day")
     )
+    return summary.orderBy("machine_id", "day") if ordered else summary
 
 
-def machine_comparison(minute: DataFrame, now: Instant) -> DataFrame:
+def machine_comparison(minute: DataFrame, now: Instant, ordered: bool = True) -> DataFrame:
     """The running hour, highest consumption first."""
-    return (
+    compared = (
         current_hour(minute, now)
         .groupBy(*TAGS)
         .agg(
@@ -88,21 +92,21 @@ def machine_comparison(minute: DataFrame, now: Instant) -> DataFrame:
             F.min("min_power_kw").alias("min_power_kw"),
             F.avg("avg_power_factor").alias("avg_pf"),
         )
-        .orderBy(F.col("energy_kwh_this_hour").desc(), *TAGS)
     )
+    return compared.orderBy(F.col("energy_kwh_this_hour").desc(), *TAGS) if ordered else compared
 
 
 def power_factor_alert(
-    minute: DataFrame, now: Instant, threshold: float = 0.90, span: timedelta = HOUR
+    minute: DataFrame, now: Instant, threshold: float = 0.90, span: timedelta = HOUR, ordered: bool = True
 ) -> DataFrame:
     """Machines whose mean power factor is strictly below the threshold, worst first."""
-    return (
+    alerts = (
         since(minute, now, span)
         .groupBy(*TAGS)
         .agg(F.avg("avg_power_factor").alias("avg_pf_last_hour"), F.count(F.lit(1)).alias("sample_count"))
         .filter(F.col("avg_pf_last_hour") < threshold)
-        .orderBy("avg_pf_last_hour", *TAGS)
     )
+    return alerts.orderBy("avg_pf_last_hour", *TAGS) if ordered else alerts
 
 
 def hourly_energy(hour: DataFrame, now: Instant, ordered: bool = True) -> DataFrame:

@@ -23,12 +23,13 @@ from millrace.operators.meter import meter_to_delta
 from millrace.operators.rollup import completeness, late_rows, rollup_hour, rollup_minute
 from millrace.operators.scope import retain
 from millrace.plans import dashboard as d
-from millrace.plans.jobs import MINUTE_JOB, backfill, checkpointed_rollup, run_rollup
+from millrace.plans import stored
+from millrace.plans.jobs import MINUTE_JOB, backfill, checkpointed_rollup, ingest_batch, run_rollup
 from millrace.schemas import DAY, HOUR_TIER, KEY, MINUTE, MINUTE_TIER, RAW_TIER
 from millrace.session import shared_dir
 from millrace.sources import messages as m
 from millrace.sources.events import batched_messages, events, messages, readings
-from millrace.sources.line_protocol import read_line_protocol, write_line_protocol
+from millrace.sources.line_protocol import read_line_protocol, rejected_lines, to_lines, write_line_protocol
 from millrace.sources.tiers import TierTables
 from millrace.streaming.rollups import hour_stream, ingest_stream, minute_stream, start_rollup
 
@@ -377,6 +378,95 @@ def upsert_table(spark, sf):
     return tables.read(RAW_TIER)
 
 
+@query
+def upsert_scattered(spark, sf):
+    """Corrections for every second hour of a month: hundreds of separate partitions in one call."""
+    tables = scratch_tables(spark, "scattered")
+    old = raw(spark, sf, "wide")
+    tables.write(RAW_TIER, old)
+    even = F.floor(F.unix_micros("time") / F.lit(3_600_000_000)) % 2 == 0
+    tables.upsert(RAW_TIER, old.filter(even).withColumn("power_kw", F.col("power_kw") + 1))
+    return tables.read(RAW_TIER)
+
+
+@query
+def upsert_null_tags(spark, sf):
+    """Rows without location, each twice in a call, and the call twice."""
+    tables = scratch_tables(spark, "null-tags")
+    rows = raw(spark, sf)
+    rows = rows.withColumn("location", F.when(F.col("location") != "office", F.col("location")))
+    again = rows.withColumn("power_kw", F.col("power_kw") + 1)
+    both = rows.withColumn("sent", F.lit(1)).union(again.withColumn("sent", F.lit(2)))
+    for _ in range(2):
+        tables.upsert(RAW_TIER, both, order_by="sent")
+    return tables.read(RAW_TIER)
+
+
+@query
+def quarantine_table(spark, sf):
+    """Two batches of a day; each keeps its rejects."""
+    tables = scratch_tables(spark, "quarantine")
+    arriving, folder = messages(events(spark, sf)), f"{tables.root}/quarantine"
+    for batch in range(2):
+        part = arriving.filter(F.col("event_id") % 2 == batch).drop("event_id")
+        ingest_batch(tables, part, folder, f"batch {batch}")
+    return spark.read.parquet(folder).select("topic", "received_at", "reject_reason", F.col("batch").cast("string"))
+
+
+@query
+def minute_job_nocount(spark, sf):
+    """The scheduled job with the option that leaves the count out."""
+    tables = scratch_tables(spark, "nocount")
+    tables.write(RAW_TIER, raw(spark, sf))
+    job = replace(MINUTE_JOB, lookback=timedelta(hours=12), options={"with_count": False})
+    run_rollup(tables, job, DAY_END)
+    return tables.read(MINUTE_TIER)
+
+
+@query
+def stored_latest_reading(spark, sf):
+    tables = scratch_tables(spark, "stored")
+    tables.write(RAW_TIER, raw(spark, sf))
+    return stored.latest_reading(tables, NOW)
+
+
+@query
+def stored_minute_trend(spark, sf):
+    return stored.minute_trend(stored_minutes(spark, sf), NOW, ordered=False)
+
+
+@query
+def stored_machine_comparison(spark, sf):
+    return stored.machine_comparison(stored_minutes(spark, sf), NOW)
+
+
+@query
+def stored_power_factor_alert(spark, sf):
+    return stored.power_factor_alert(stored_minutes(spark, sf), NOW)
+
+
+@query
+def stored_daily_summary(spark, sf):
+    return stored.daily_summary(stored_hours(spark, sf), WIDE_NOW)
+
+
+@query
+def stored_hourly_report(spark, sf):
+    return stored.hourly_report(stored_hours(spark, sf), WIDE_NOW, ordered=False)
+
+
+def stored_minutes(spark: SparkSession, sf: str) -> TierTables:
+    tables = scratch_tables(spark, "stored")
+    tables.write(MINUTE_TIER, minute(spark, sf))
+    return tables
+
+
+def stored_hours(spark: SparkSession, sf: str) -> TierTables:
+    tables = scratch_tables(spark, "stored")
+    tables.write(HOUR_TIER, hour(spark, sf, "wide"))
+    return tables
+
+
 @query
 def tier_scan(spark, sf):
     tables = scratch_tables(spark, "scan")
@@ -433,6 +523,28 @@ def line_protocol_roundtrip(spark, sf):
     return read_line_protocol(spark, path, MINUTE_TIER)
 
 
+@query
+def line_protocol_escaped(spark, sf):
+    """Tags with every character that is escaped."""
+    path = shared_dir(spark, "lines")
+    rows = minute(spark, sf).withColumn("location", F.concat("location", F.lit(" a,b=c")))
+    write_line_protocol(rows, path, MINUTE_TIER)
+    return read_line_protocol(spark, path, MINUTE_TIER)
+
+
+@query
+def line_protocol_rejects(spark, sf):
+    """One machine's lines lose their time, another's a number."""
+    line = F.col("value")
+    spoiled = (
+        F.when(line.contains("machine_01"), F.regexp_replace(line, " [0-9]+$", ""))
+        .when(line.contains("machine_02"), F.regexp_replace(line, "sum_energy_kwh=", "sum_energy_kwh=x"))
+        .otherwise(line)
+    )
+    bad = rejected_lines(to_lines(minute(spark, sf), MINUTE_TIER).select(spoiled.alias("value")), MINUTE_TIER)
+    return bad.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
 # Streams, run over all there is. It comes as one batch: in several, files read in any other order
 # than that of their times would be late to each other.
 

@@ -235,6 +235,15 @@ ORACLES: dict[str, str] = {
         {rounded('energy_kwh', 'voltage_v', 'current_a', 'power_factor')}, event_id + 1 AS arrival FROM raw""",
     "upsert_merge": RESENT,
     "upsert_table": RESENT,
+    "upsert_scattered": f"""{WIDE}, merged AS (SELECT * REPLACE
+        (power_kw + CASE WHEN epoch_us(time) // 3600000000 % 2 = 0 THEN 1 ELSE 0 END AS power_kw) FROM raw)
+        SELECT {RAW_ROUNDED} FROM merged""",
+    "upsert_null_tags": f"""{FAST}, merged AS (SELECT * REPLACE
+        (power_kw + 1 AS power_kw, nullif(location, 'office') AS location) FROM raw)
+        SELECT {RAW_ROUNDED} FROM merged""",
+    "quarantine_table": f"""{MESSAGES} SELECT topic, received_at, reject_reason,
+        'batch ' || (event_id % 2)::varchar AS batch FROM messages WHERE reject_reason IS NOT NULL""",
+    "minute_job_nocount": f"{FAST} SELECT {TIER_UNCOUNTED}, NULL::bigint AS sample_count FROM minutes",
     "tier_scan": f"""{FAST} SELECT {RAW_ROUNDED} FROM raw
         WHERE time >= TIMESTAMP '2024-01-01 02:30:00' AND time < {NOW}""",
     "retention_keep": f"{WIDE} SELECT {RAW_ROUNDED} FROM raw WHERE time >= TIMESTAMP '2024-01-16 12:00:00'",
@@ -244,6 +253,11 @@ ORACLES: dict[str, str] = {
     "backfill_tiers": f"""{FAST} SELECT {TIER_ROUNDED}, 'energy_minute' AS tier FROM minutes
         UNION ALL SELECT {TIER_ROUNDED}, 'energy_hour' AS tier FROM hours""",
     "line_protocol_roundtrip": f"{FAST} SELECT {TIER_ROUNDED} FROM minutes",
+    "line_protocol_escaped": f"""{FAST}, tagged AS (SELECT * REPLACE (location || ' a,b=c' AS location) FROM minutes)
+        SELECT {TIER_ROUNDED} FROM tagged""",
+    "line_protocol_rejects": f"""{FAST} SELECT CASE machine_id WHEN 'machine_01' THEN 'no time' ELSE 'bad number' END
+        AS reject_reason, count(*) AS lines FROM minutes WHERE machine_id IN ('machine_01', 'machine_02')
+        GROUP BY ALL""",
     "stream_minute": f"""{FAST} SELECT {TIER_ROUNDED} FROM minutes
         WHERE time + INTERVAL 1 MINUTE <= (SELECT max(time) FROM raw) - INTERVAL 1 MINUTE""",
     "stream_hour": f"""{FAST}, closed AS (SELECT * FROM minutes
@@ -264,5 +278,10 @@ def daily(base: str) -> str:
         FROM hours WHERE time >= {WIDE_NOW} - INTERVAL 30 DAY GROUP BY ALL"""
 
 
+# Reports over stored tiers are those over derived ones.
+for _name in ("latest_reading", "minute_trend", "machine_comparison", "power_factor_alert"):
+    ORACLES[f"stored_{_name}"] = ORACLES[_name]
+ORACLES["stored_hourly_report"] = ORACLES["hourly_report_week"]
+ORACLES["stored_daily_summary"] = daily(WIDE)
 ORACLES["daily_summary"] = daily(WIDE)
 ORACLES["fleet_daily_summary"] = daily(WIDE_FLEET)

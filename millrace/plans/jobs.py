@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from millrace.functions.clock import floor_to, to_utc
 from millrace.operators.cleanse import cleanse, rejected, valid_readings
 from millrace.operators.rollup import rollup_hour, rollup_minute
-from millrace.schemas import HOUR_TIER, MINUTE, MINUTE_TIER, RAW_TIER, TIERS, Tier
+from millrace.schemas import DAY, HOUR_TIER, MINUTE, MINUTE_TIER, RAW_TIER, TIERS, Tier
 from millrace.sources.tiers import TierTables, Window
 
 
@@ -37,7 +37,10 @@ class RollupConfig:
 
     def rows(self, tables: TierTables, window: Window) -> DataFrame:
         rollup = rollup_minute if self.source is RAW_TIER else rollup_hour
-        return rollup(tables.read(self.source, *window), *window, width=self.bucket, **self.options)
+        made = rollup(tables.read(self.source, *window), *window, width=self.bucket, **self.options)
+        # Options may leave a column out; the table has it all the same.
+        absent = [f for f in self.target.schema.fields if f.name not in made.columns]
+        return made.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
 
 
 # Lookbacks, offsets and first spans of the two jobs.
@@ -111,6 +114,15 @@ def run_retention(
     return {t.name: tables.apply_retention(t, days[t.name], now) for t in TIERS if t.name in days}
 
 
+def run_upkeep(tables: TierTables, now: datetime | str, database: str | None = None) -> None:
+    """Once a day: gather the small files of yesterday, and show the catalog what was written since."""
+    today = floor_to(DAY, now)
+    for tier in TIERS:
+        tables.compact(tier, today - DAY, today)
+    if database:
+        tables.refresh(database, (today - DAY, to_utc(now)))
+
+
 def ingest_batch(
     tables: TierTables,
     messages: DataFrame,

@@ -12,7 +12,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType
+from pyspark.sql.types import BooleanType, DataType, DateType, IntegerType, StructField, StructType
 
 from millrace.functions.clock import (
     EPOCH,
@@ -35,6 +35,7 @@ Window = tuple[datetime, datetime]
 
 _PARTITION_TYPES = {"date": DateType(), "hour_of_day": IntegerType()}
 _PARTITION_VALUES = {"date": utc_date, "hour_of_day": utc_hour}
+_LABELS = {"is_new": BooleanType(), "is_changed": BooleanType()}
 
 
 @dataclass(frozen=True)
@@ -99,11 +100,12 @@ class TierTables:
     def merge(self, tier: Tier, updates: DataFrame, window: Window) -> None:
         """Write ``updates``, which lie in ``window``, by key, and rewrite its partitions.
 
-        For bulk work: one job, and the updates are computed once, inside the write.
+        For bulk work: the updates are computed once. The result is written aside before the old
+        partitions go, so rows that cannot be computed again outlive a crash.
         """
+        self.recover(tier)
         updates = updates.select(*tier.schema.names)
-        old = self._cells(tier, [(floor_to(_cell(tier), window[0]), window[1])])
-        self.write(tier, merge_last(old, updates, KEY))
+        self._swap(tier, merge_last(self._between(tier, *window), updates, KEY))
 
     def upsert(self, tier: Tier, updates: DataFrame, order_by: str | None = None) -> None:
         """Write ``updates`` by key, last write wins, and rewrite only what changes.
@@ -120,16 +122,16 @@ class TierTables:
             updates = updates.groupBy(*KEY).agg(F.max(F.struct(*values)).alias("_row")).select(*KEY, "_row.*")
         self.recover(tier)
         folder = shared_dir(self.spark, f"upsert-{tier.name}")
-        updates.filter(F.col("time").isNotNull()).select(*tier.schema.names).write.parquet(folder)
         try:
-            self._apply(tier, self.spark.read.schema(tier.schema).parquet(folder))
+            updates.filter(F.col("time").isNotNull()).select(*tier.schema.names).write.parquet(f"{folder}/rows")
+            self._apply(tier, self.spark.read.schema(tier.schema).parquet(f"{folder}/rows"), f"{folder}/labelled")
         finally:
             self._fs_delete(folder)
 
     def compact(self, tier: Tier, start: datetime, end: datetime) -> None:
         """Rewrite the partitions of a closed range, so that appends leave few files."""
         self.recover(tier)
-        self._swap(tier, self._cells(tier, [(floor_to(_cell(tier), start), end)]))
+        self._swap(tier, self._between(tier, start, end))
 
     def recover(self, tier: Tier) -> None:
         """Finish rewrites a crash cut off. Upserts and retention do this first."""
@@ -173,39 +175,24 @@ class TierTables:
     def _marks(self, job: str) -> str:
         return f"{self.root.rstrip('/')}/marks/{job}"
 
-    def _apply(self, tier: Tier, updates: DataFrame) -> None:
+    def _apply(self, tier: Tier, updates: DataFrame, folder: str) -> None:
         index = _cell_index(_cell(tier))
         # The driver sees one row per touched partition here and below, never rows of data.
         micros_of = F.unix_micros("time")
-        touched = updates.groupBy(index).agg(F.min(micros_of).alias("first"), F.max(micros_of).alias("last"))
-        cells = {row.cell: (row['first'], row['last']) for row in touched.collect()}
-        seen = self._known(tier, updates, cells).groupBy(index).agg(F.max("changed").alias("changed")).collect()
-        rewritten = [row.cell for row in seen if row.changed]
-        overlapping = {row.cell: cells[row.cell] for row in seen if not row.changed}
-
-        appended = updates.filter(~index.isin(rewritten))
-        if overlapping:
-            appended = _meet(appended, self._known(tier, updates, overlapping), "left_anti")
-        if len(rewritten) < len(cells):
-            self._save(tier, appended, "append")
+        touched = updates.groupBy(index).agg(F.min(micros_of).alias("first"), F.max(micros_of).alias("last")).collect()
+        if not touched:
+            return
+        first, last = min(row["first"] for row in touched), max(row["last"] for row in touched)
+        near = self._cells(tier, [row.cell for row in touched])
+        near = near.filter(F.col("time").between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last))))
+        _labelled(updates, near).write.parquet(folder)
+        labelled = self.spark.read.schema(_with_fields(tier.schema, _LABELS)).parquet(folder)
+
+        rewritten = [row.cell for row in labelled.filter("is_changed").select(index).distinct().collect()]
+        if len(rewritten) < len(touched):
+            self._save(tier, labelled.filter(F.col("is_new") & ~index.isin(rewritten)), "append")
         if rewritten:
-            old = self._cells(tier, _spans(tier, rewritten))
-            self._swap(tier, merge_last(old, updates.filter(index.isin(rewritten)), KEY))
-
-    def _known(self, tier: Tier, updates: DataFrame, cells: dict[int, tuple[int, int]]) -> DataFrame:
-        """Keys of ``updates`` the tier has already, and whether their values change.
-
-        Partition and time bounds limit the scan. Recent files, not compacted yet, each hold a
-        short stretch of time, so that most of an hour is not read.
-        """
-        values = [c for c in tier.schema.names if c not in KEY]
-        first = F.timestamp_micros(F.lit(min((lo for lo, _ in cells.values()), default=0)))
-        last = F.timestamp_micros(F.lit(max((hi for _, hi in cells.values()), default=0)))
-        near = self._cells(tier, _spans(tier, list(cells))).filter(F.col("time").between(first, last))
-        old = near.select(*KEY, F.struct(*values).alias("old"))
-        new = updates.select(*KEY, F.struct(*values).alias("new"))
-        changed = (~F.col("old").eqNullSafe(F.col("new"))).alias("changed")
-        return _meet(old, new, "inner").select(*KEY, changed)
+            self._swap(tier, merge_last(self._cells(tier, rewritten), updates.filter(index.isin(rewritten)), KEY))
 
     def _swap(self, tier: Tier, rows: DataFrame) -> None:
         """Replace partitions with rows derived from them.
@@ -234,17 +221,21 @@ class TierTables:
         )
 
     def _scan(self, tier: Tier) -> DataFrame:
-        schema = tier.schema
-        for name in tier.partitions:
-            schema = _with_field(schema, name)
+        schema = _with_fields(tier.schema, {name: _PARTITION_TYPES[name] for name in tier.partitions})
         self._fs_mkdirs(self.path(tier))
         return self.spark.read.schema(schema).parquet(self.path(tier))
 
-    def _cells(self, tier: Tier, spans: list[Window]) -> DataFrame:
-        """All rows of the partitions covering ``spans``, whose starts lie on partition edges."""
-        wanted = F.lit(False)
-        for start, end in spans:
-            wanted = wanted | (_not_before(tier, instant(start)) & _not_after(tier, instant(end)))
+    def _cells(self, tier: Tier, cells: list[int]) -> DataFrame:
+        """All rows of the partitions numbered ``cells``: one set lookup per folder, however many they are."""
+        number = F.unix_date("date").cast("bigint")
+        if "hour_of_day" in tier.partitions:
+            number = number * F.lit(DAY // HOUR) + F.col("hour_of_day")
+        return self._scan(tier).filter(number.isin(cells)).select(*tier.schema.names)
+
+    def _between(self, tier: Tier, start: datetime, end: datetime) -> DataFrame:
+        """All rows of the partitions that ``[start, end)`` touches."""
+        edge = instant(floor_to(_cell(tier), start))
+        wanted = _not_before(tier, edge) & _not_after(tier, instant(end))
         return self._scan(tier).filter(wanted).select(*tier.schema.names)
 
     def _drop_before(self, tier: Tier, edge: datetime) -> None:
@@ -298,18 +289,6 @@ def _cell_index(cell: timedelta) -> Column:
     return F.floor(F.unix_micros("time") / F.lit(micros(cell))).alias("cell")
 
 
-def _spans(tier: Tier, cells: list[int]) -> list[Window]:
-    """Time spans of the partitions, neighbours joined."""
-    spans: list[list[int]] = []
-    for cell in sorted(cells):
-        if spans and spans[-1][1] == cell:
-            spans[-1][1] = cell + 1
-        else:
-            spans.append([cell, cell + 1])
-    size = _cell(tier)
-    return [(EPOCH + size * a, EPOCH + size * b) for a, b in spans]
-
-
 def _folders(tier: Tier, window: Window) -> Iterator[str]:
     start, end = floor_to(_cell(tier), window[0]), to_utc(window[1])
     while start < end:
@@ -331,8 +310,8 @@ def _partition_columns(tier: Tier) -> list[Column]:
     return [_PARTITION_VALUES[p](F.col("time")).alias(p) for p in tier.partitions]
 
 
-def _with_field(schema, name: str):
-    return type(schema)([*schema.fields]).add(name, _PARTITION_TYPES[name])
+def _with_fields(schema: StructType, extra: dict[str, DataType]) -> StructType:
+    return StructType([*schema.fields, *(StructField(name, kind) for name, kind in extra.items())])
 
 
 # Spark does not derive partition bounds from a bound on ``time``, so they are stated.
@@ -351,8 +330,15 @@ def _not_after(tier: Tier, end: Column) -> Column:
     return (F.col("date") < day) | ((F.col("date") == day) & (F.col("hour_of_day") <= utc_hour(last)))
 
 
-def _meet(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-    """Join by key, where a null tag equals a null tag; the key columns of ``left`` stay."""
-    right = right.select(*(F.col(k).alias(f"_key_{k}") for k in KEY), *(c for c in right.columns if c not in KEY))
+def _labelled(updates: DataFrame, old: DataFrame) -> DataFrame:
+    """``updates`` with whether ``old`` lacks their key, and whether it has other values for it.
+
+    A null tag equals a null tag.
+    """
+    values = [c for c in updates.columns if c not in KEY]
+    old = old.select(*(F.col(k).alias(f"_key_{k}") for k in KEY), F.struct(*values).alias("_old"))
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in KEY))
-    return left.join(right, same, how).drop(*(f"_key_{k}" for k in KEY))
+    is_new = F.col("_old").isNull()
+    is_changed = ~is_new & ~F.col("_old").eqNullSafe(F.struct(*values))
+    joined = updates.join(old, same, "left")
+    return joined.select(*updates.columns, is_new.alias("is_new"), is_changed.alias("is_changed"))

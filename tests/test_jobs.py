@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import json
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.rollup import rollup_hour, rollup_minute
-from millrace.plans.jobs import HOUR_JOB, MINUTE_JOB, backfill, checkpointed_rollup, ingest_batch, run_retention, run_rollup
+from millrace.plans import stored
+from millrace.plans.jobs import HOUR_JOB, MINUTE_JOB, backfill, checkpointed_rollup, ingest_batch, run_retention, run_rollup, run_upkeep
 from millrace.schemas import HOUR_TIER, MINUTE_TIER, RAW_TIER
 from millrace.sources.tiers import TierTables
 from tests.conftest import at, rows_of
@@ -111,3 +113,20 @@ def test_ingest_repeats_without_copies(spark, tables, tmp_path):
         assert rows_of(spark.read.parquet(path), "payload", "reject_reason") == [("{", "bad_json")]
     ingest_batch(tables, messages.filter(F.col("payload") == "{"), path, "8")
     assert spark.read.parquet(path).count() == 2
+
+
+def test_stored_reports_prune(spark, tables, tier_rows):
+    tables.write(HOUR_TIER, tier_rows(*((f"2024-01-{d:02}T10:00:00", "m1", "hall", 1.0, 1.0, 1) for d in range(1, 11))))
+    report = stored.hourly_report(tables, "2024-01-10 12:00:00", days=2)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "date#" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert report.count() == 2
+
+
+def test_upkeep_gathers_yesterday(tables, raw_rows):
+    for second in range(3):
+        tables.upsert(RAW_TIER, raw_rows((f"10:00:0{second}", "m1")))
+    folder = Path(tables.path(RAW_TIER))
+    assert len(list(folder.rglob("*.parquet"))) == 3
+    run_upkeep(tables, "2024-01-02 03:00:00")
+    assert len(list(folder.rglob("*.parquet"))) == 1 and tables.read(RAW_TIER).count() == 3

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators.merge import dedupe_last, merge_last
 from millrace.schemas import HOUR_TIER, KEY, MINUTE_TIER, RAW_TIER
-from millrace.sources.line_protocol import from_lines, read_line_protocol, to_lines, write_line_protocol
-from millrace.sources.tiers import TierTables, _spans
+from millrace.sources.line_protocol import from_lines, read_line_protocol, rejected_lines, to_lines, write_line_protocol
+from millrace.sources.tiers import TierTables
 from tests.conftest import at, rows_of
 
 
@@ -165,6 +165,22 @@ def test_crash_between_delete_and_rename_loses_nothing(tables, raw_rows, monkeyp
     assert rows_of(tables.read(RAW_TIER), "power_kw") == [(1.0,), (5.0,), (6.0,)]
 
 
+def test_crashed_merge_keeps_rows_without_a_source(tables, tier_rows, monkeypatch):
+    tables.write(HOUR_TIER, tier_rows(("10:00:00", "m1", "hall", 1.0, 1.0, 1), ("11:00:00", "m1", "hall", 2.0, 1.0, 1)))
+    updates, window = tier_rows(("11:00:00", "m1", "hall", 5.0, 1.0, 1)), (at("11:00:00"), at("12:00:00"))
+
+    def crash(self, tier, rows):
+        self._fs_delete(f"{self.path(tier)}/date=2024-01-01")
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(TierTables, "write", crash)
+        with pytest.raises(RuntimeError):
+            tables.merge(HOUR_TIER, updates, window)
+    tables.merge(HOUR_TIER, updates, window)
+    assert rows_of(tables.read(HOUR_TIER), "avg_power_kw") == [(1.0,), (5.0,)]
+
+
 def test_upsert_of_nothing(tables, raw_rows):
     tables.upsert(RAW_TIER, raw_rows())
     tables.upsert(RAW_TIER, raw_rows((None, "m1")))
@@ -180,11 +196,16 @@ def test_merge_rewrites_its_window(tables, tier_rows):
     ]
 
 
-def test_spans_join_neighbours():
-    spans = [(str(a)[:13], str(b)[:13]) for a, b in _spans(RAW_TIER, [473361, 473362, 473365, -1])]
-    assert spans == [
-        ("1969-12-31 23", "1970-01-01 00"), ("2024-01-01 09", "2024-01-01 11"), ("2024-01-01 13", "2024-01-01 14"),
-    ]
+def test_upsert_of_many_separate_hours(spark, tables):
+    """Every second of 800 hours, a scattered set of partitions in one call."""
+    hours = spark.range(0, 800, 2).selectExpr(
+        "timestamp_seconds(1704067200 + id * 3600) AS time", "'machine_01' AS machine_id", "'office' AS location",
+        "1.0D AS power_kw", "1.0D AS energy_kwh", "1.0D AS voltage_v", "1.0D AS current_a", "1.0D AS power_factor",
+    )
+    tables.upsert(RAW_TIER, hours)
+    tables.upsert(RAW_TIER, hours.withColumn("power_kw", F.when(F.hour("time") < 12, 2.0).otherwise(1.0)))
+    power = {r.power_kw: r["count"] for r in tables.read(RAW_TIER).groupBy("power_kw").count().collect()}
+    assert power == {2.0: 202, 1.0: 198}
 
 
 @pytest.mark.parametrize("tier", [MINUTE_TIER, HOUR_TIER])
@@ -245,5 +266,27 @@ def test_line_protocol_text(spark, tier_rows, raw_rows):
     assert rows_of(from_lines(lines, RAW_TIER, "ms"), "time") == [("2024-06-29 09:20:00",)]
 
 
+def test_bad_lines_are_refused_one_by_one(spark):
+    lines = spark.createDataFrame(
+        [(f"energy_raw,machine_id=m{i} {rest}",) for i, rest in enumerate(
+            ("power_kw=1", "power_kw=1,power_kw=2 5", "power_kw=NaN 5", "power_kw=x 5", "other=1 5", "power_kw=1 soon", "power_kw=1 5 6"))]
+        + [("",), ("# energy_raw",), (None,)],
+        "value string",
+    )
+    reasons = {r.value[23]: r.reject_reason for r in rejected_lines(lines, RAW_TIER, "s").collect()}
+    assert reasons == {"0": "no time", "2": "bad number", "3": "bad number", "4": "no fields", "5": "bad time", "6": "too many parts"}
+    assert rows_of(from_lines(lines, RAW_TIER, "s"), "machine_id", "power_kw") == [("m1", 2.0)]
+    filled = from_lines(lines, RAW_TIER, "s", default_time="2024-01-01 10:00:00")
+    assert rows_of(filled, "machine_id", "time") == [("m0", "2024-01-01 10:00:00"), ("m1", "1970-01-01 00:00:05")]
+
+
+def test_export_leaves_out_what_the_form_lacks(tier_rows):
+    rows = tier_rows(("10:00:00", "m1", "", float("nan"), 1.0, 1)).union(
+        tier_rows(("10:00:00", "m2", "hall", 1.0, 1.0, 1)).select(
+            *(F.lit(None).cast(f.dataType).alias(f.name) if f.name not in KEY else f.name for f in MINUTE_TIER.schema.fields)))
+    (line,) = to_lines(rows, MINUTE_TIER).collect()
+    assert line.value.startswith("energy_minute,machine_id=m1 sum_energy_kwh=1.0,") and "NaN" not in line.value
+
+
 def test_keys_are_the_tier_columns():
     assert set(KEY) <= set(RAW_TIER.schema.names)

@@ -10,16 +10,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.clock import date_bin
-from millrace.schemas import DAY, MINUTE, TAGS
+from millrace.schemas import HOUR, TAGS
 
 
 def meter_to_delta(
-    raw: DataFrame, column: str = "energy_kwh", segments: Sequence[timedelta] = (MINUTE, DAY)
+    raw: DataFrame, column: str = "energy_kwh", segments: Sequence[timedelta] = (HOUR,)
 ) -> DataFrame:
     """Replace the meter reading by its growth since the machine's previous reading.
 
     A falling reading means the meter was reset: the new reading counts in full. The first
     reading of a machine has no growth and becomes null.
+
+    Each segment level costs one more pass over key, time and value. Hours hold few enough readings
+    for a task, and a machine has few enough hours; readings at a far higher rate may want a finer level.
     """
     seen = with_previous(raw, TAGS, "time", column, segments)
     growth = F.col(column) - F.col("previous")

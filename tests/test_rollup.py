@@ -114,6 +114,17 @@ def test_meter_segments_match_a_plain_lag_with_one_hot_machine(spark):
     assert plain.filter("energy_kwh is null").count() == readings.select("machine_id", "location").distinct().count()
 
 
+def test_meter_readings_are_read_twice_and_shuffled_once_as_rows(spark, tmp_path, capsys):
+    columns = "time timestamp, machine_id string, location string, energy_kwh double"
+    spark.createDataFrame([], columns).write.parquet(str(tmp_path / "raw"))
+    capsys.readouterr()
+    meter_to_delta(spark.read.schema(columns).parquet(str(tmp_path / "raw"))).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("FileScan") == 2
+    assert plan.count("Exchange hashpartitioning") == 3  # hours, machines over hours, readings
+    assert "SinglePartition" not in plan
+
+
 def test_pre_1970_rows(raw_rows):
     raw = raw_rows(("1969-12-31T23:59:30", "m1"))
     assert rows_of(rollup_minute(raw), "time") == [("1969-12-31 23:59:00",)]

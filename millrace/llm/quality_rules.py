@@ -25,9 +25,11 @@ class Bands:
     """Limits on bytes before over bytes after zstandard compression.
 
     A text of at most ``lengths[i]`` bytes must have a ratio within ``whole[i]``; the last band holds
-    all longer texts. Each full chunk of ``chunk`` bytes must have one within ``chunks``, but for a
-    share of at most ``tolerated`` of a text's chunks. Longer texts compress better, so their
-    bands lie higher; the lower ends are what random letters reach, the upper ends what pure
+    all longer texts. Each chunk of ``chunk`` bytes must have one within ``chunks``, but for a share
+    of at most ``tolerated`` of a text's chunks; shorter texts have chunks of ``small`` bytes and
+    ``smalls``. Where chunks leave a rest, the last one covers the text's end and overlaps its
+    predecessor. Texts below ``small`` bytes are judged as a whole only. Longer texts compress better,
+    so their bands lie higher; the lower ends are what random letters reach, the upper ends what pure
     repetition does.
     """
 
@@ -36,13 +38,26 @@ class Bands:
     whole: tuple[tuple[float, float], ...] = ((1.1, 2.4), (1.36, 2.6), (1.5, 2.8), (1.6, 3.1), (1.6, 3.8))
     chunk: int = 2048
     chunks: tuple[float, float] = (1.36, 3.2)
+    small: int = 500
+    smalls: tuple[float, float] = (1.3, 2.4)
     tolerated: float = 0.34
 
+    def pieces(self, size: int) -> list[tuple[int, int]]:
+        """Begin and end of the chunks of a text of ``size`` bytes; together they cover it."""
+        step = self.chunk if size >= self.chunk else self.small
+        if size < step:
+            return []
+        begins = [*range(0, size - step + 1, step)]
+        if size % step:
+            begins.append(size - step)
+        return [(i, i + step) for i in begins]
+
     def accepts(self, size: int, ratio: float, chunk_ratios: list[float]) -> bool:
         low, high = self.whole[int(np.searchsorted(self.lengths, size))]
         if not low <= ratio <= high:
             return False
-        odd = sum(not self.chunks[0] <= r <= self.chunks[1] for r in chunk_ratios)
+        least, most = self.chunks if size >= self.chunk else self.smalls
+        odd = sum(not least <= r <= most for r in chunk_ratios)
         return odd <= self.tolerated * len(chunk_ratios)
 
 
@@ -100,8 +115,7 @@ class Judge:
         n_symbols = len(raw) - len(raw.translate(None, SYMBOLS))
         lines = [line for line in raw.split(b"\n") if line.strip()]
         ratio = self.ratio(raw)
-        size = self.bands.chunk
-        chunk_ratios = [self.ratio(raw[i : i + size]) for i in range(0, len(raw) - size + 1, size)]
+        chunk_ratios = [self.ratio(raw[a:b]) for a, b in self.bands.pieces(len(raw))]
         kept = not failed and self.bands.accepts(len(raw), ratio, chunk_ratios)
         return (n_words, word_chars, n_symbols, len(lines) - len(set(lines)), repeated, failed, kept, ratio, len(chunk_ratios))
 

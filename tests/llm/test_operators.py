@@ -286,6 +286,21 @@ def test_rules(docs, texts):
     assert not found[6]["kept"] and quality_rules.filter_by_rules(docs).columns == docs.columns
 
 
+def test_rules_see_the_end_of_a_text():
+    rng, judge = random.Random(12), quality_rules.Judge(quality_rules.Bands())
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    noise = lambda n: " ".join("".join(rng.choice(letters) for _ in range(7)) for _ in range(n)).encode()
+    plain = lambda n: " ".join("".join(rng.choice("etaoinsr") for _ in range(rng.randint(2, 8))) for _ in range(n)).encode()
+    verdict, bands = quality_rules.STATS.names.index("kept"), quality_rules.Bands()
+    for raw in (plain(1000)[:2048] + noise(230), plain(300)[:700] + noise(90)):
+        low, high = bands.whole[int(np.searchsorted(bands.lengths, len(raw)))]
+        assert low <= judge.ratio(raw) <= high and not judge(raw)[verdict]
+    assert judge(plain(1000)[:3890])[verdict] and judge(plain(300)[:1400])[verdict]
+    for size in (0, 499, 500, 501, 2047, 2048, 2049, 4096, 10_000):
+        seen = {i for a, b in bands.pieces(size) for i in range(a, b)}
+        assert seen == (set(range(size)) if size >= bands.small else set())
+
+
 def test_grades_on_held_out_rows(spark):
     rng = random.Random(9)
     rows, labels = [], []

@@ -24,8 +24,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return jaccard_join.one_of_each(docs)
+    """One document of each group of near copies: sets of five-word shingles with a similarity of 0.8 or more."""
+    return jaccard_join.one_of_each(docs, percent=80, words=5)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -153,6 +153,36 @@ def test_small_sets_and_boundary():
                 assert len(np.intersect1d(plan.keys(x), plan.keys(y)))
 
 
+def test_pipeline_stage_links_at_four_fifths_of_five_words(spark, docs, texts):
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    base = [f"w{k}" for k in range(200)]
+    edited = [f"new{k}" if k in (40, 80, 120, 160) else w for k, w in enumerate(base)]
+    more = [" ".join(base), " ".join(edited)]
+    for n in (6, 9, 25, 60, 400):
+        own = [f"v{n}x{k}" for k in range(n)]
+        for edits in range(4):
+            copy = list(own)
+            for _ in range(edits):
+                copy[rng.randrange(n)] = f"e{rng.random()}"
+            more.append(" ".join(copy))
+    whole = [*texts, *more]
+    sets = []
+    for t in whole:
+        w = raw_of(t).lower().split()
+        sets.append(frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset())
+    root = list(range(len(whole)))
+    for a, b in combinations(range(len(whole)), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+    assert root[len(texts) + 1] == len(texts)
+    extra = spark.createDataFrame([(len(texts) + i, t) for i, t in enumerate(more)], "doc_id long, text string")
+    left = corpus_pipeline.near_copies(spark, docs.select("doc_id", "text").unionByName(extra), "")
+    assert {r.doc_id for r in left.collect()} - {None} == set(root)
+
+
 def test_passages(docs, texts):
     found = {r.doc_id for r in passages.near_passages(docs).collect()}
     runs = defaultdict(set)

@@ -196,6 +196,32 @@ def test_passages(docs, texts):
     assert all(r.similarity >= 0.8 and r.other_doc_id < r.doc_id for r in pairs)
 
 
+def test_similar_passages_of_unequal_length():
+    rng = np.random.default_rng(4)
+    fresh = lambda n: rng.integers(1, 1 << 62, n).astype(np.uint64)
+    passage, long = fresh(68), fresh(500)
+    # Seven words within a 72-word passage break four shingles and add eleven.
+    grown = np.r_[passage[:32], fresh(11), passage[36:]]
+    for mine, theirs in ((grown, passage), (passage, grown)):
+        (found,) = passages.compare(np.r_[fresh(40), mine, fresh(40)], np.r_[fresh(30), theirs, fresh(30)])
+        assert found == ((40, len(mine)), (30, len(theirs)), 64 / 79)
+    apart = np.r_[long[:250], fresh(304), long[254:]]
+    for mine, theirs in ((long, apart), (apart, long)):
+        found = sorted(passages.compare(mine, theirs))
+        assert [(n, m, s) for (_, n), (_, m), s in found] == [(250, 250, 1.0), (246, 246, 1.0)]
+    for _ in range(60):
+        a = fresh(int(rng.integers(46, 120)))
+        b = a
+        for _ in range(rng.integers(0, 3)):
+            cut = int(rng.integers(1, len(b) - 1))
+            b = np.r_[b[:cut], fresh(int(rng.integers(1, 14))), b[cut + int(rng.integers(0, 4)) :]]
+        shared = len(np.intersect1d(a, b))
+        if shared >= 0.8 * (len(a) + len(b) - shared):
+            for mine, theirs in ((a, b), (b, a)):
+                found = list(passages.compare(np.r_[fresh(20), mine], np.r_[fresh(9), theirs, fresh(9)]))
+                assert max(m for _, (_, m), _ in found) >= len(np.intersect1d(mine, theirs)) and all(s >= 0.8 for *_, s in found)
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(0, 0.2, 8)]) for i in range(300)]

@@ -312,6 +312,13 @@ def test_mixing(docs, texts):
     assert mixing.sample(docs).columns == docs.columns
 
 
+def test_mixing_counts_words(spark, texts):
+    odd = ["\n\n\n", " \t\x0b\x0c\r\n", "    indented\n\n\n    twice ", "x", " a\t\tb\r\n\r\nc  ", "a\u00a0b é"]
+    rows = [(i, t) for i, t in enumerate([*texts, *odd])]
+    found = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", mixing.n_words().alias("n")).collect()
+    assert {r.doc_id: r.n for r in found} == {i: len(raw_of(t).split()) for i, t in rows}
+
+
 def test_raking_equals_plain_loops(spark):
     rng = np.random.default_rng(6)
     cube = rng.integers(50, 100, (3, 2, 2)).astype(float)

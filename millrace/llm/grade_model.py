@@ -91,6 +91,7 @@ def grades(labels: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
     chosen = grades(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.rows)
     rows = docs.select(F.col("doc_id").cast("long"), raw_bytes().alias("t")).join(chosen, "doc_id")
+    hashed = rows.select("doc_id", "t", "grade", F.xxhash64("t").alias("hash"))
     size = fit.features
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,21 +99,24 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
         for batch in batches:
             found = [features(t, cache) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array([f.astype("<i4").tobytes() for f, _ in found], pa.binary()),
-                 pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())], names=["doc_id", "grade", "f", "v"])
-
-    # At most ``fit.rows`` labels; a repeated doc_id is taken once.
-    table = rows.select("doc_id", "t", "grade").mapInArrow(run, "doc_id long, grade int, f binary, v binary").toArrow().sort_by("doc_id")
-    seen, grade, ids, values = set(), [], [], []
-    for doc, g, f, v in zip(*(c.to_pylist() for c in table.columns)):
-        if doc not in seen:
-            seen.add(doc)
-            grade.append(g)
-            ids.append(np.frombuffer(f, "<i4"))
-            values.append(np.frombuffer(v, "<f4"))
+                [batch.column(0), batch.column(2), batch.column(3), pa.array([f.astype("<i4").tobytes() for f, _ in found], pa.binary()),
+                 pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())], names=["doc_id", "grade", "hash", "f", "v"])
+
+    # At most ``fit.rows`` labels, and of a repeated doc_id the row whose text has the least hash.
+    made = hashed.mapInArrow(run, "doc_id long, grade int, hash long, f binary, v binary")
+    table = one_row_each(made).toArrow().sort_by("doc_id")
+    grade = table["grade"].to_pylist()
+    ids = [np.frombuffer(f, "<i4") for f in table["f"].to_pylist()]
+    values = [np.frombuffer(v, "<f4") for v in table["v"].to_pylist()]
     return learn(np.array(grade, np.int64), ids, values, fit)
 
 
+def one_row_each(made: DataFrame) -> DataFrame:
+    """``grade, f, v`` once for each doc_id; copies go before anything is collected."""
+    least = made.groupBy("doc_id").agg(F.min(F.struct("hash", "grade", "f", "v")).alias("row"))
+    return least.select("doc_id", "row.grade", "row.f", "row.v")
+
+
 def learn(grade: np.ndarray, ids: list[np.ndarray], values: list[np.ndarray], fit: Fit) -> Model:
     """Maximum likelihood with a squared penalty, by Adam over all rows at once."""
     shares = np.array([(np.sum(grade >= j) + 1) / (len(grade) + 2) for j in range(1, GRADES)])

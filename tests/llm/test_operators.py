@@ -385,6 +385,22 @@ def test_grades_on_held_out_rows(spark):
     assert grade_model.score(docs, empty).count() == 601
 
 
+def test_a_repeated_doc_id_is_collected_once(spark, monkeypatch):
+    rows = [(i, f"word{i % 3} of text {i}") for i in range(30)] + [(7, f"another text {k}") for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    collected, plain = [], type(docs).toArrow
+
+    def counted(frame):
+        collected.append(plain(frame))
+        return collected[-1]
+
+    monkeypatch.setattr(type(docs), "toArrow", counted)
+    first = grade_model.train(docs, labels)
+    assert [t.num_rows for t in collected] == [30]
+    assert (grade_model.train(docs.repartition(3), labels).weights == first.weights).all()
+
+
 def test_empty_tables(nothing, spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<double>")
     frames = [

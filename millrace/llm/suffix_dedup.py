@@ -10,6 +10,8 @@ windows meet, and the neighbouring windows with one least hash travel as a singl
    stack finds its common-prefix intervals; those whose suffixes differ in the byte before them
    are the maximal repeats, each with all strings it occurs in. Equal strings are sent once for each block, so a passage in
    very many documents is not a large group.
+   Where blocks hold many strings of one hash, its windows are sent one by one instead, dealt by their own
+   hashes: only equal windows meet then, and no suffix array grows with the corpus.
 3. Each block learns the repeats of its strings, with the least doc_id of each, and finds all their occurrences.
 
 Texts are whole and taken as bytes; repeats never cross documents. Null text is empty. Rows without doc_id neither lose
@@ -37,6 +39,10 @@ WIDTH = LEAST + REACH - 1  # longest string that travels
 CHUNK = 1 << 17
 #: Text bytes for each bucket of hashes.
 BUCKET = 32 << 20
+#: Strings of one hash, as blocks count them, beyond which its windows are dealt by their own hashes.
+CROWD = 1 << 12
+#: So many runs of one hash in a block count as they are; of more, the different strings are counted.
+FEW = 8
 
 
 # Windows and their least hashes
@@ -104,9 +110,13 @@ def runs(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return begin, np.concatenate(counts), np.concatenate(hashes), np.searchsorted(ends, begin, side="right")
 
 
+def coded(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
+    return (hashes >> np.uint64(32)) % np.uint64(n_buckets) << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF)
+
+
 def sorted_hashes(hashes: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (bucket, low 32 bits) in order, as one number; the runs in that order; where each begins."""
-    code = (hashes >> np.uint64(32)) % np.uint64(n_buckets) << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF)
+    code = coded(hashes, n_buckets)
     order = np.argsort(code, kind="stable")
     ranked = code[order]
     first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(ranked) else np.zeros(0, np.int64)
@@ -164,9 +174,14 @@ def met(frame: DataFrame, reduce) -> DataFrame:
 def send_hashes(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
     for block, folder in blocks_in(batches):
         data = get(folder, f"{block}.docs")
-        codes, _, _ = sorted_hashes(runs(data["text"], data["ends"])[2], n_buckets)
-        low = (codes & np.uint64(0xFFFFFFFF)).astype("<u4")
-        yield messages([(bucket, block, packed(low=low[s])) for bucket, s in by_bucket(codes)])
+        begin, count, hashes, _ = runs(data["text"], data["ends"])
+        codes, order, first = sorted_hashes(hashes, n_buckets)
+        n, raw = np.diff(np.r_[first, len(order)]), data["text"].tobytes()
+        for i in np.flatnonzero(n > FEW).tolist():
+            at = order[first[i] : first[i] + n[i]]
+            n[i] = len({raw[a:b] for a, b in zip(begin[at].tolist(), (begin[at] + count[at] + LEAST - 1).tolist())})
+        low, n = (codes & np.uint64(0xFFFFFFFF)).astype("<u4"), n.astype("<u4")
+        yield messages([(bucket, block, packed(low=low[s], n=n[s])) for bucket, s in by_bucket(codes)])
 
 
 def blocks_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str]]:
@@ -188,6 +203,28 @@ def find_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield messages([(bucket, block, packed(bits=np.packbits(a))) for (block, _), a in zip(sent, answers)])
 
 
+def find_crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tell each block which of its hashes another block has, and which have more than ``CROWD`` strings."""
+    for bucket, sent in grouped(batches):
+        parts = [unpacked(blob, "<u4", "<u4") for _, blob in sent]
+        values, n = (np.concatenate([p[i] for p in parts]) for i in range(2))
+        _, place, holders = np.unique(values, return_inverse=True, return_counts=True)
+        crowded = np.bincount(place, n) > CROWD
+        edges = np.cumsum([len(p[0]) for p in parts])[:-1]
+        answers = zip(np.split((holders > 1)[place], edges), np.split(crowded[place], edges))
+        yield messages([(bucket, block, packed(bits=np.packbits(a), crowd=np.packbits(c))) for (block, _), (a, c) in zip(sent, answers)])
+
+
+def by_window(raw: bytes, begin: np.ndarray, count: np.ndarray, hashes: np.ndarray, doc: np.ndarray, crowded: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The runs, those of crowded hashes cut to single windows with hashes of their own."""
+    n = np.where(crowded, count, 1)
+    which = np.repeat(np.arange(len(n)), n)
+    begin = begin[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+    single, hashes = crowded[which], hashes[which]
+    hashes[single] = np.fromiter((xxhash.xxh3_64_intdigest(raw[a : a + LEAST]) for a in begin[single].tolist()), np.uint64, int(single.sum()))
+    return begin, np.where(single, 1, count[which]), hashes, doc[which]
+
+
 def send_strings(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block, folder, answers in zip(*(batch.column(c).to_pylist() for c in ("block", "folder", "answers"))):
@@ -196,19 +233,21 @@ def send_strings(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[
             begin, count, hashes, doc = runs(text, data["ends"])
             codes, order, first = sorted_hashes(hashes, n_buckets)
             bits = {a["bucket"]: a["blob"] for a in answers or ()}
-            shared = np.zeros(len(codes), bool)
+            shared, crowd = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
             for bucket, s in by_bucket(codes):
-                shared[s] = np.unpackbits(unpacked(bits[bucket], "u1")[0], count=s.stop - s.start)
+                shared[s], crowd[s] = (np.unpackbits(b, count=s.stop - s.start) for b in unpacked(bits[bucket], "u1", "u1"))
             if len(order):
                 shared |= np.minimum.reduceat(doc[order], first) != np.maximum.reduceat(doc[order], first)
             sizes = np.diff(np.r_[first, len(order)])
             # The runs to send, in order of bucket and hash.
             at = order[np.repeat(shared, sizes)]
             raw = text.tobytes()
+            begin, count, hashes, doc = by_window(raw, begin[at], count[at], hashes[at], doc[at], np.repeat(crowd[shared], sizes[shared]))
+            at = np.arange(len(begin))
             ends = begin[at] + count[at] + LEAST - 1
             strings = [raw[a:b] for a, b in zip(begin[at].tolist(), ends.tolist())]
             content = np.fromiter(map(xxhash.xxh3_64_intdigest, strings), np.uint64, len(strings))
-            code = np.repeat(codes[shared], sizes[shared])
+            code = coded(hashes, n_buckets)
             by_content = np.lexsort((ids[doc[at]], content, code))
             new = np.ones(len(at), bool)
             if len(at):
@@ -336,9 +375,8 @@ def intervals(common: np.ndarray) -> Iterator[tuple[int, int, int]]:
                 yield low, i + 1, longer
 
 
-def found_repeats(docs: DataFrame) -> DataFrame:
+def found_repeats(docs: DataFrame, reduce=find_repeats) -> DataFrame:
     """The blocks, each with the repeats of its strings."""
-    spark = docs.sparkSession
     blocks = write_blocks(docs)
     facts = blocks.agg(F.count("*"), F.sum("n_bytes")).first()
     n_blocks, n_buckets = max(1, facts[0]), max(64, -(-(facts[1] or 0) // BUCKET))
@@ -348,8 +386,8 @@ def found_repeats(docs: DataFrame) -> DataFrame:
         lists = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "blob")).alias("answers"))
         return blocks.join(lists, "block", "left").select("block", "folder", "answers").repartition(n_blocks)
 
-    shared = met(spread.mapInArrow(lambda b: send_hashes(b, n_buckets), MESSAGE_DDL), find_shared)
-    repeats = met(answered(shared).mapInArrow(lambda b: send_strings(b, n_buckets), MESSAGE_DDL), find_repeats)
+    shared = met(spread.mapInArrow(lambda b: send_hashes(b, n_buckets), MESSAGE_DDL), find_crowded)
+    repeats = met(answered(shared).mapInArrow(lambda b: send_strings(b, n_buckets), MESSAGE_DDL), reduce)
     return answered(repeats)
 
 
@@ -372,7 +410,8 @@ def occurrences_in(block: int, folder: str, answers: list[dict] | None):
 def repeats(docs: DataFrame) -> DataFrame:
     """``repeat_id, doc_id, start, length, first_doc`` of every occurrence of every maximal repeat of two or more documents.
 
-    Repeats are maximal within the strings that meet; a longer one shows as several that overlap.
+    Repeats are maximal within the strings that meet; a longer one shows as several that overlap, and one of a
+    crowded hash as its windows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

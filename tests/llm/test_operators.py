@@ -114,6 +114,35 @@ def test_suffixes(docs, texts):
         assert here in raw_of(texts[r.first_doc])
 
 
+def test_a_frequent_phrase_meets_by_windows(spark):
+    rng = random.Random(17)
+    phrase, own = "this very phrase is in all texts", lambda: "".join(rng.choice("abcdefgh") for _ in range(30))
+    texts = [own() + phrase + own() for _ in range(suffix_dedup.CROWD + 200)]
+    texts += [own() + texts[k][9:80] + own() for k in (0, 1, 1, 40)]
+    seen, expected = set(), {}
+    for i, t in enumerate(texts):
+        mark = bytearray(len(t))
+        windows = [t[p : p + 50] for p in range(len(t) - 49)]
+        for p, w in enumerate(windows):
+            if w in seen:
+                mark[p : p + 50] = b"\1" * 50
+        seen.update(windows)
+        expected[i] = sum(mark)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(docs).select("doc_id", "n_removed").collect()} == expected
+
+    def largest(batches):
+        for bucket, sent in suffix_dedup.grouped(batches):
+            parts = [suffix_dedup.unpacked(blob, "<i4", "<u8", "<u8", "<i8", "u1", "u1", "u1") for _, blob in sent]
+            strings = {pair for p in parts for pair in zip(p[1].tolist(), p[2].tolist())}
+            most = np.unique([h for h, _ in strings], return_counts=True)[1].max()
+            yield suffix_dedup.messages([(bucket, 0, suffix_dedup.packed(most=np.array([most])))])
+
+    lists = suffix_dedup.found_repeats(docs, largest).select("answers").collect()
+    sizes = [int(suffix_dedup.unpacked(a.blob, "<i8")[0][0]) for r in lists for a in r.answers or ()]
+    assert sizes and max(sizes) <= suffix_dedup.CROWD
+
+
 def test_intervals_with_left_diversity():
     rng = np.random.default_rng(3)
     core = rng.integers(97, 101, 60).astype(np.uint8)

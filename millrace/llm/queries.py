@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import grade_model, huffman, jaccard_join, line_dedup, mixing, packing, passages, quality_rules, suffix_dedup, topk_search
+from millrace.llm import grade_model, huffman, jaccard_join, line_dedup, mixing, packing, passages, quality_rules, run_detection, suffix_dedup, topk_search
 from millrace.llm.common import batch_of, raw_bytes, table
 from millrace.llm.tokens import crc_of, id_type, token_table
 
@@ -114,3 +114,29 @@ def op3_suffix_dedup(spark, sf):
 @query
 def op4_passages(spark, sf):
     return passages.near_passages(table(spark, sf, "documents"))
+
+
+@query
+def op12_periodic_runs(spark, sf):
+    found = run_detection.find_runs(with_planted_runs(table(spark, sf, "documents")))
+    best = F.col("strongest")
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; in a tenth of the documents, by a checksum of doc_id, the words repeat from some word on."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn(
+        "h", F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    )
+    chosen, words = F.col("h") % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = rows.withColumn("w", F.when(chosen, words)).withColumn("n", F.greatest(F.size("w"), F.lit(1)).cast("long"))
+    rows = rows.withColumn("a", F.expr("(h div 10) % n")).withColumn("p", F.expr("1 + (n - a) div (3 + (h div 10) % 8)"))
+    place = F.sequence(F.lit(0), F.col("n") - 1)
+    source = F.transform(place, lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + F.try_mod(i - F.col("a"), F.col("p"))))
+    planted = F.array_join(F.transform(source, lambda i: F.get("w", i.cast("int"))), " ")
+    return rows.select("doc_id", F.when(chosen, planted).otherwise(F.col("text")).alias("text"))

@@ -1,0 +1,129 @@
+"""Periodic runs against a plain search of every period."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import run_detection
+from millrace.llm.queries import QUERIES
+
+
+def plain_runs(w, length, exponent):
+    found = []
+    for q in range(1, len(w) // exponent + 1):
+        i = q
+        while i < len(w):
+            j = i
+            while j < len(w) and w[j] == w[j - q]:
+                j += 1
+            start, n = i - q, j - i + q
+            smaller = n >= max(length, exponent * q) and any(all(w[k] == w[k - p] for k in range(start + p, start + n)) for p in range(1, q))
+            if j > i and n >= max(length, exponent * q) and not smaller:
+                found.append((start, n, q))
+            i = max(j, i + 1)
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def some_words(rng, letters, size):
+    w = []
+    while len(w) < size:
+        block = [rng.choice(letters[: rng.randint(1, len(letters))]) for _ in range(rng.randint(1, 12))]
+        w += (block * rng.randint(1, 7))[: rng.randint(1, 70)]
+    return w
+
+
+@pytest.mark.parametrize("length, exponent", [(24, 3), (6, 3), (4, 2), (1, 2), (10, 4)])
+def test_runs(length, exponent):
+    rng, n = random.Random(length), 0
+    for _ in range(150):
+        texts = [[x.encode() for x in some_words(rng, "abc", rng.randint(0, 90))] for _ in range(3)]
+        expected = [plain_runs(w, length, exponent) for w in texts]
+        assert run_detection.runs_in_texts(texts, length, exponent) == expected
+        n += sum(map(len, expected))
+    assert n > 20
+
+
+def test_automaton():
+    words = [1, 2, 1, 1, 2, 1, 2, 2, 1, 1, 2]
+    automaton = run_detection.SuffixAutomaton(words)
+    for end, state in enumerate(automaton.prefix, 1):
+        while automaton.link[state] > 1:  # the longest suffix that ends at other places too
+            longer, state = state, automaton.link[state]
+            assert automaton.length[longer] > automaton.length[state] > 0
+        assert automaton.length[automaton.prefix[end - 1]] == end
+
+
+def test_long_text_of_one_word():
+    assert run_detection.runs_in_texts([[b"a"] * 50_000], 24, 3) == [[(0, 50_000, 1)]]
+
+
+def test_rejects_squareless_limits(spark):
+    with pytest.raises(ValueError):
+        run_detection.find_runs(spark.createDataFrame([(1, "a")], "doc_id long, text string"), exponent=1)
+
+
+def digest(text):
+    return hashlib.sha256(text).hexdigest()
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(8)
+    out = {-3: "x " * 90, 0: None, 1: "", 2: " \n\t", 3: "one", 4: "a b " * 40, 5: "A a " * 40, 6: "a b\u00a0c\x85 " * 30, 7: "a b\n" * 300}
+    for doc in range(8, 160):
+        out[doc] = rng.choice([" ", "\n", "\t "]).join(some_words(rng, ["é", "Lor", "ip,"], rng.randint(0, 120)))
+        if doc % 3 == 0:
+            out[doc] = " ".join(f"w{rng.randint(0, 400)}" for _ in range(rng.randint(1, 300)))
+    return out
+
+
+def expected_row(doc, text):
+    w = (text or "").encode().split()
+    h = zlib.crc32(str(doc).encode()) if doc is not None else 1
+    if h % 10 == 0 and w:
+        g = h // 10
+        a = g % len(w)
+        p = 1 + (len(w) - a) // (3 + g % 8)
+        w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+    runs = plain_runs(w, 24, 3)
+    best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2])) if runs else (None, None, None)
+    gone = {k for s, n, q in runs for k in range(s + q, s + n)}
+    return (
+        doc, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+        digest("".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()), digest(b" ".join(x for i, x in enumerate(w) if i not in gone)),
+    )
+
+
+def test_query(spark, texts, tmp_path):
+    rows = [(doc, text, -1, "n") for doc, text in texts.items()] + [(None, texts[4], 0, None), (9, texts[7], 0, None), (9, texts[7], 0, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, h int, runs string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = [tuple(r) for r in QUERIES["op12_periodic_runs"](spark, str(tmp_path)).collect()]
+    expected = [expected_row(doc, text) for doc, text, _, _ in rows]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    assert sum(r[1] for r in expected) > 50
+
+
+def test_planted(spark, texts):
+    from millrace.llm.queries import with_planted_runs
+
+    rows = [(doc, text) for doc, text in texts.items()]
+    found = with_planted_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    changed = {r["doc_id"] for r in found if r["text"] != texts[r["doc_id"]]}
+    assert changed and changed <= {doc for doc in texts if zlib.crc32(str(doc).encode()) % 10 == 0}
+
+
+def test_empty_table(spark):
+    nothing = spark.createDataFrame([], "doc_id long, text string")
+    assert run_detection.find_runs(nothing).count() == 0
+
+
+def test_collapsed(spark):
+    docs = spark.createDataFrame([(1, "p q " + "a b c " * 9 + "d")], "doc_id int, text string")
+    row = run_detection.find_runs(docs).withColumn("n", F.size("runs")).first()
+    assert row["n"] == 1 and tuple(row["strongest"]) == (2, 27, 3) and row["collapsed"] == "p q a b c d"

@@ -47,6 +47,33 @@ SELECT d.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles,
        least(d.doc_id, min(c.doc_id))::BIGINT AS class_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reach r ON r.u = d.doc_id
 LEFT JOIN sets e ON e.doc_id = d.doc_id LEFT JOIN sets c ON c.s = e.s GROUP BY d.doc_id
+""",
+    "op11_minhash_dedup": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s
+  FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+), sets AS (SELECT doc_id, list(s ORDER BY s) AS s FROM shingles GROUP BY doc_id)
+SELECT d.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles,
+       least(d.doc_id, min(r.v))::BIGINT AS component_id,
+       least(d.doc_id, min(c.doc_id))::BIGINT AS class_id,
+       d.doc_id = least(d.doc_id, min(r.v)) AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN reach r ON r.u = d.doc_id
+LEFT JOIN sets e ON e.doc_id = d.doc_id LEFT JOIN sets c ON c.s = e.s GROUP BY d.doc_id
 """,
     "op2_topk_search": r"""
 WITH whole AS (

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import grade_model, huffman, jaccard_join, line_dedup, mixing, packing, passages, quality_rules, run_detection, suffix_dedup, topk_search
+from millrace.llm import grade_model, huffman, jaccard_join, line_dedup, mixing, packing, passages, quality_rules, run_detection, sketch_join, suffix_dedup, topk_search
 from millrace.llm.common import batch_of, raw_bytes, table
 from millrace.llm.tokens import crc_of, id_type, token_table
 
@@ -116,6 +116,11 @@ def op4_passages(spark, sf):
     return passages.near_passages(table(spark, sf, "documents"))
 
 
+@query
+def op11_minhash_dedup(spark, sf):
+    return sketch_join.components(table(spark, sf, "documents"))
+
+
 @query
 def op12_periodic_runs(spark, sf):
     found = run_detection.find_runs(with_planted_runs(table(spark, sf, "documents")))

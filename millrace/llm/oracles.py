@@ -86,5 +86,28 @@ WITH whole AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scores
 )
 SELECT * FROM ranked WHERE rank <= 10
+""",
+    "op13_hard_negatives": """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM whole a JOIN whole c ON c.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+           row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+    FROM scores WHERE same
+  ) WHERE place <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+)
+SELECT * FROM ranked WHERE rank <= 5
 """,
 }

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import grade_model, huffman, jaccard_join, line_dedup, mixing, packing, passages, quality_rules, run_detection, sketch_join, suffix_dedup, topk_search
+from millrace.llm import grade_model, hard_negatives, huffman, jaccard_join, line_dedup, mixing, packing, passages, quality_rules, run_detection, sketch_join, suffix_dedup, topk_search
 from millrace.llm.common import batch_of, raw_bytes, table
 from millrace.llm.tokens import crc_of, id_type, token_table
 
@@ -145,3 +145,9 @@ def with_planted_runs(docs: DataFrame) -> DataFrame:
     source = F.transform(place, lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + F.try_mod(i - F.col("a"), F.col("p"))))
     planted = F.array_join(F.transform(source, lambda i: F.get("w", i.cast("int"))), " ")
     return rows.select("doc_id", F.when(chosen, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_hard_negatives(spark, sf):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, label)

@@ -27,6 +27,22 @@ def kept(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to clash with no column."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def columns_of(docs: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names have."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]
+
+
 def raw_bytes(column: str = "text") -> Column:
     """The text's UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

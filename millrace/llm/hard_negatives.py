@@ -31,41 +31,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import kept
+from millrace.llm.vectors import LAST, clamped, loaded, stored, top_of, whole
 
 BLOCK = 4096
 #: Bytes of anchors in one group, and of blocks in one part beyond which there are more parts.
 GROUP_BYTES, PART_BYTES = 8 << 20, 1 << 30
 #: Columns read between two looks at the bounds.
 STEP = 8
-LAST = (1 << 63) - 1
 BLOCK_DDL = "dim int, n int, kind string, ids binary, labels binary, m binary"
 FOUND = pa.schema([("anchor_id", pa.int64()), ("window", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 FOUND_DDL = "anchor_id long, window long, vec_id long, score long"
 
 
-def whole(x: np.ndarray, scale: int) -> np.ndarray:
-    """floor(scale * x) of doubles: 64-bit integers, or Python's where these are too small."""
-    with np.errstate(over="ignore"):
-        scaled = np.floor(x * float(scale))
-    if np.abs(scaled).max(initial=0.0) < float(1 << 63):
-        return scaled.astype(np.int64)
-    exact = [int(s) if np.isfinite(s) else int(v) * scale for s, v in zip(scaled.ravel(), x.ravel())]
-    return np.array(exact, object).reshape(x.shape)
-
-
-def stored(matrix: np.ndarray, x: np.ndarray) -> tuple[str, bytes]:
-    """The smallest form that holds the integers; doubles as they were, if none does."""
-    if matrix.dtype == object:
-        return "x", x.astype("<f8").tobytes()
-    top = int(np.abs(matrix).max(initial=0))
-    kind = next((k for k in ("<i2", "<i4") if top <= np.iinfo(k).max), "<i8")
-    return kind, matrix.astype(kind).tobytes()
-
-
-def loaded(kind: str, raw: bytes, scale: int) -> np.ndarray:
-    return whole(np.frombuffer(raw, "<f8"), scale) if kind == "x" else np.frombuffer(raw, kind).astype(np.int64)
-
-
 def usable(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Ids, labels and components (as doubles) of the vectors that take part, by length."""
     lists = batch.column("embedding")
@@ -133,7 +110,7 @@ class Block:
         self.ids, self.labels = np.frombuffer(ids, "<i8"), np.frombuffer(labels, "<i8")
         self.columns = loaded(kind, m, scale).reshape(dim, n)
         self.least, self.most = self.columns.min(axis=1), self.columns.max(axis=1)
-        self.top = max((abs(int(v)) for v in (*self.least, *self.most)), default=0)
+        self.top = top_of(self.columns)
         self.forms: dict[type, np.ndarray] = {}
 
     def as_type(self, dtype: type) -> np.ndarray:
@@ -183,10 +160,6 @@ class Anchor:
         return stay
 
 
-def clamped(scores: np.ndarray) -> np.ndarray:
-    return np.array([min(max(s, -LAST - 1), LAST) for s in scores], object) if scores.dtype == object else scores
-
-
 def scan(batches: Iterator[pa.RecordBatch], scale: int, k: int, low: int, high: int) -> Iterator[pa.RecordBatch]:
     """Rows come by cell, its anchors before its blocks. Null ``scores`` ask for the highest of the same label."""
     cell, anchors = None, []

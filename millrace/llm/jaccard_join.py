@@ -17,6 +17,7 @@ task holds more than two blocks. Tasks return a spanning forest of the links, no
 
 Null text and text without words have no set and link with nothing. Rows without doc_id come back
 with a null component. Rows that share a doc_id are one document: each has its own set, and they share a component.
+Empty tables give empty results; extra columns are ignored, and pass through ``one_of_each``.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ODD, kept, mixed, raw_bytes, shingle_hashes
+from millrace.llm.common import ODD, columns_of, kept, mixed, raw_bytes, shingle_hashes
 from millrace.llm.components import connected
 
 WORDS = 3
@@ -219,7 +220,5 @@ def forest(held: list[tuple], percent: int) -> list[tuple[bytes, bytes]]:
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """The documents whose doc_id is their component's; rows without doc_id stay."""
-    found = components(docs, percent, words)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    firsts = docs.join(first, F.col("doc_id") == F.col("_first"), "left_semi")
-    return firsts.unionByName(docs.where("doc_id IS NULL"))
+    first = components(docs, percent, words).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").select(*columns_of(docs)).unionByName(docs.where("doc_id IS NULL"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ASCII_SPACE, fill_batches, kept, raw_bytes
+from millrace.llm.common import ASCII_SPACE, columns_of, fill_batches, fresh, kept, raw_bytes
 
 LINES_DDL = "h1 long, h2 long, doc_id long, row_hash long, n_lines int, pos int"
 LINES = pa.schema(
@@ -137,13 +137,14 @@ def cut(raw: bytes, bitmap: bytes | None) -> tuple[bytes, int, int]:
     return b"\n".join(line for line, k in zip(lines, keep) if k), len(lines), len(lines) - int(keep.sum())
 
 
-def with_bitmaps(docs: DataFrame, **limits: int) -> DataFrame:
-    """The rows with ``bitmap``, null where no line drops."""
+def with_bitmaps(docs: DataFrame, name: str = "_bitmap", **limits: int) -> DataFrame:
+    """The rows with a last column of bitmaps, null where no line drops; its name gives way to the columns'."""
+    doc, row, bitmap = fresh(docs, "_doc", "_row", name)
     marks = keep_bitmaps(docs, **limits).select(
-        F.col("doc_id").alias("_doc"), F.col("row_hash").alias("_row"), F.col("bitmap").alias("_bitmap")
+        F.col("doc_id").alias(doc), F.col("row_hash").alias(row), F.col("bitmap").alias(bitmap)
     )
-    on = (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_row"))
-    return docs.join(marks, on, "left").select(*docs.columns, "_bitmap")
+    on = (F.col("doc_id") == F.col(doc)) & (F.xxhash64("text") == F.col(row))
+    return docs.join(marks, on, "left").select(*columns_of(docs), bitmap)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:

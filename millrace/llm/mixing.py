@@ -5,8 +5,9 @@ over those it has are the probability with which its documents stay, never above
 DataFrame functions are used. Fitting works on one row for each cell.
 
 Null sources, languages and topics are categories of their own. Documents without words weigh
-nothing and stay. Rows of one doc_id stay or go together; rows without one go by their text. An
-empty table gives an empty result; other columns pass through.
+nothing and stay, and so does a category that has no others; in a table without words all stay. Rows of one doc_id
+stay or go together; rows without one go by their text. An empty table gives an empty result; other columns pass
+through, whatever their names. ``marginals`` reports how near raking came to its goals.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import kept
+from millrace.llm.common import columns_of, fresh, kept
 
 DIMENSIONS = ("source", "lang", "topic")
 NULL = "\x00null"
@@ -26,14 +27,15 @@ NULL = "\x00null"
 class Targets:
     """What the mixture should be.
 
-    ``shares`` may name shares of a dimension's categories. Elsewhere a category gets its own share
+    ``shares`` may name shares of a dimension's categories, null as None; a category of the table
+    that is left out is an error. Elsewhere a category gets its own share
     raised to ``power``, which lowers what is over-represented. ``budget`` is the part of all
     tokens to keep. Raking ends when all marginals are within ``tolerance`` or after ``sweeps``.
     """
 
     budget: float = 0.8
     power: dict[str, float] = field(default_factory=lambda: {"source": 0.8, "lang": 0.9, "topic": 1.0})
-    shares: dict[str, dict[str, float]] = field(default_factory=dict)
+    shares: dict[str, dict[str | None, float]] = field(default_factory=dict)
     tolerance: float = 1e-3
     sweeps: int = 12
     seed: int = 7
@@ -46,7 +48,7 @@ def n_words(text: str = "text") -> Column:
 
 
 def topic_of(text: str = "text") -> Column:
-    """A coarse topic by form, for tables that have none: marked-up, shouted or plain prose."""
+    """A coarse topic by form, for tables without a ``topic`` column: marked-up, shouted or plain prose."""
     size = F.greatest(F.length(text), F.lit(1))
     marks = F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))
     loud = F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
@@ -57,58 +59,97 @@ def label(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(NULL))
 
 
-def fit(cells: DataFrame, targets: Targets) -> DataFrame:
-    """``probability`` for ``source, lang, topic, tokens`` of every cell."""
-    spark = cells.sparkSession
-    whole = Window.partitionBy(F.lit(1))
+def goals(cells: DataFrame, name: str, targets: Targets) -> DataFrame:
+    """``name, goal_name``: the tokens that each category of one dimension should keep."""
+    categories = kept(cells.groupBy(name).agg(F.sum("tokens").alias("t")), "categories")
+    total = categories.agg(F.sum("t")).first()[0] or 0
+    wish = F.pow(F.col("t") / F.lit(float(total or 1)), F.lit(targets.power.get(name, 1.0)))
+    if given := targets.shares.get(name):
+        shares = [(NULL if k is None else str(k), float(v)) for k, v in given.items()]
+        named = cells.sparkSession.createDataFrame(shares, "category string, given double")
+        categories = categories.join(named, F.col(name) == F.col("category"), "left")
+        if missing := [r[0] for r in categories.where("given IS NULL AND t > 0").select(name).limit(5).collect()]:
+            raise ValueError(f"no share is given for {name} {', '.join(map(repr, missing))}")
+        wish = F.coalesce("given", F.lit(0.0))
+    wished = categories.select(name, F.when(F.col("t") > 0, wish).otherwise(0.0).alias("wish"))
+    scale = total * targets.budget / (wished.agg(F.sum("wish")).first()[0] or 1.0)
+    return wished.select(name, (F.col("wish") * scale).alias(f"goal_{name}"))
+
+
+def fitted(cells: DataFrame, targets: Targets) -> DataFrame:
+    """The cells with the ``goal_*`` of their categories and ``fitted`` tokens, never more than they have."""
     for name in DIMENSIONS:
-        share = F.sum("tokens").over(Window.partitionBy(name)) / F.sum("tokens").over(whole)
-        wish = F.pow(share, F.lit(targets.power.get(name, 1.0)))
-        if given := targets.shares.get(name):
-            named = spark.createDataFrame([(k, float(v)) for k, v in given.items()], f"{name} string, given double")
-            cells = cells.join(named, name, "left")
-            wish = F.coalesce("given", F.lit(0.0))
-        # Each cell carries its part of its category's wish, so that the wishes sum to one over all cells.
-        part = wish * F.col("tokens") / F.sum("tokens").over(Window.partitionBy(name))
-        cells = cells.withColumn("_part", part).drop("given")
-        goal = F.sum("_part").over(Window.partitionBy(name)) / F.sum("_part").over(whole)
-        cells = cells.withColumn(f"goal_{name}", goal * F.sum("tokens").over(whole) * targets.budget).drop("_part")
+        cells = cells.join(goals(cells, name, targets), name)
     cells = kept(cells.withColumn("fitted", F.col("tokens").cast("double")), "cells")
     for sweep in range(targets.sweeps):
         for name in DIMENSIONS:
             total = F.sum("fitted").over(Window.partitionBy(name))
-            cells = cells.withColumn("fitted", F.when(total > 0, F.col("fitted") * F.col(f"goal_{name}") / total).otherwise(0.0))
+            cells = cells.withColumn("fitted", F.when(total > 0, F.col("fitted") * F.try_divide(f"goal_{name}", total)).otherwise(0.0))
         cells = cells.withColumn("fitted", F.least("fitted", F.col("tokens").cast("double")))
-        if sweep % 3 == 2:
+        if sweep % 3 == 2 or sweep == targets.sweeps - 1:
             cells = kept(cells, "cells")
-            off = cells
-            for name in DIMENSIONS:
-                total = F.sum("fitted").over(Window.partitionBy(name))
-                off = off.withColumn(f"off_{name}", F.abs(total - F.col(f"goal_{name}")) / F.greatest(f"goal_{name}", F.lit(1.0)))
-            worst = off.agg(F.max(F.greatest(*[f"off_{n}" for n in DIMENSIONS]))).first()[0]
-            if worst is None or worst <= targets.tolerance:
+            worst = max((far(cells, name) for name in DIMENSIONS), default=0.0)
+            if worst <= targets.tolerance:
                 break
-    return cells.select(*DIMENSIONS, F.when(F.col("tokens") > 0, F.col("fitted") / F.col("tokens")).otherwise(1.0).alias("probability"))
+    return cells
+
+
+def off(name: str) -> Column:
+    """How far a category's fitted tokens are from its goal, as a part of it."""
+    goal = F.max(f"goal_{name}")
+    return F.abs(F.sum("fitted") - goal) / F.greatest(goal, F.lit(1.0))
+
+
+def far(cells: DataFrame, name: str) -> float:
+    return cells.groupBy(name).agg(off(name).alias("off")).agg(F.max("off")).first()[0] or 0.0
+
+
+def marginals(docs: DataFrame, targets: Targets = Targets(), topic: Column | None = None) -> DataFrame:
+    """``dimension, category, tokens, goal, fitted, off, met``: what raking reached for each category, null as it was."""
+    cells = fitted(cells_of(docs, topic), targets)
+    reports = [
+        cells.groupBy(F.col(name).alias("category")).agg(
+            F.sum("tokens").alias("tokens"), F.max(f"goal_{name}").alias("goal"), F.sum("fitted").alias("fitted"), off(name).alias("off")
+        ).select(F.lit(name).alias("dimension"), F.nullif("category", F.lit(NULL)).alias("category"), "tokens", "goal", "fitted", "off",
+                 (F.col("off") <= targets.tolerance).alias("met"))
+        for name in DIMENSIONS
+    ]
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+
+
+def fit(cells: DataFrame, targets: Targets) -> DataFrame:
+    """``probability`` for ``source, lang, topic, tokens`` of every cell."""
+    probability = F.when(F.col("tokens") > 0, F.try_divide("fitted", F.col("tokens"))).otherwise(1.0)
+    return fitted(cells, targets).select(*DIMENSIONS, probability.alias("probability"))
+
+
+def topic_label(docs: DataFrame, topic: Column | None) -> Column:
+    """The given topic, else the table's own, else one by form."""
+    if topic is None:
+        topic = F.col("topic") if "topic" in docs.columns else topic_of()
+    return F.coalesce(topic.cast("string"), F.lit(NULL))
+
+
+def cells_of(docs: DataFrame, topic: Column | None = None) -> DataFrame:
+    labels = [label("source").alias("source"), label("lang").alias("lang"), topic_label(docs, topic).alias("topic")]
+    return docs.select(*labels, n_words().alias("tokens")).groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"))
 
 
 def weigh(docs: DataFrame, targets: Targets = Targets(), topic: Column | None = None) -> DataFrame:
-    """The rows with ``mix_topic, mix_tokens, mix_probability, mix_kept``."""
-    labelled = docs.withColumns({
-        "_source": label("source"), "_lang": label("lang"),
-        "_topic": F.coalesce((topic_of() if topic is None else topic).cast("string"), F.lit(NULL)), "_tokens": n_words(),
-    })
-    cells = labelled.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens"))
-    found = fit(cells.toDF(*DIMENSIONS, "tokens"), targets).toDF("_source", "_lang", "_topic", "_probability")
+    """The rows with ``mix_topic, mix_tokens, mix_probability, mix_kept``, which give way to columns of these names."""
+    source, lang, topic_, tokens, probability = fresh(docs, "_source", "_lang", "_topic", "_tokens", "_probability")
+    labelled = docs.withColumns({source: label("source"), lang: label("lang"), topic_: topic_label(docs, topic), tokens: n_words()})
+    found = fit(cells_of(docs, topic), targets).toDF(source, lang, topic_, probability)
     known = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.lit(targets.seed), "doc_id"))
     draw = F.coalesce(known, F.xxhash64(F.lit(targets.seed), "text"))
     chance = F.pmod(draw, F.lit(1 << 52)) / float(1 << 52)
-    joined = labelled.join(found, ["_source", "_lang", "_topic"], "left")
-    return joined.select(
-        *docs.columns, F.col("_topic").alias("mix_topic"), F.col("_tokens").alias("mix_tokens"),
-        F.col("_probability").alias("mix_probability"),
-        (chance < F.when(F.col("_tokens") > 0, F.col("_probability")).otherwise(1.0)).alias("mix_kept"),
-    )
+    joined = labelled.join(found, [source, lang, topic_], "left")
+    names = fresh(docs, "mix_topic", "mix_tokens", "mix_probability", "mix_kept")
+    stays = chance < F.when(F.col(tokens) > 0, F.col(probability)).otherwise(1.0)
+    added = [F.col(topic_), F.col(tokens), F.col(probability), stays]
+    return joined.select(*columns_of(docs), *[c.alias(n) for c, n in zip(added, names)])
 
 
 def sample(docs: DataFrame, targets: Targets = Targets(), topic: Column | None = None) -> DataFrame:
-    return weigh(docs, targets, topic).where("mix_kept").select(*docs.columns)
+    weighed = weigh(docs, targets, topic)
+    return weighed.where(F.col(weighed.columns[-1])).select(*columns_of(docs))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import kept, raw_bytes, shingle_hashes
+from millrace.llm.common import columns_of, kept, raw_bytes, shingle_hashes
 from millrace.llm.components import connected
 
 WORDS, PERCENT = 5, 85
@@ -269,4 +269,4 @@ class Group:
 def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """The documents whose doc_id is their component's; rows without doc_id stay."""
     first = components(docs, percent, words).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    return docs.join(first, "doc_id", "left_semi").select(*columns_of(docs)).unionByName(docs.where("doc_id IS NULL"))

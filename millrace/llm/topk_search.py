@@ -5,9 +5,8 @@ histogram of scores for each query over the interval that holds its k-th score,
 interval to one bin, until it is a single value. The last pass keeps what scores higher, and of
 equal scores the smallest ids. A task sends at most k bins, or k rows above what it must, for each query.
 
-Components become floor(scale * x). Vectors that are null, hold null or non-finite components or
-components that leave 64-bit integers take no part; scores beyond 64 bits stop at the end of the
-range. Vectors meet only those of their own length. Rows that repeat a vec_id are candidates each, but never for their own
+Components become floor(scale * x); scores are exact, and such beyond 64 bits count as the last value
+of the range. Vectors that are null or hold null or non-finite components take no part. Vectors meet only those of their own length. Rows that repeat a vec_id are candidates each, but never for their own
 id; as a query the least of them counts. Empty tables give empty results; extra columns are ignored.
 """
 
@@ -21,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import kept
+from millrace.llm.vectors import LAST, clamped, loaded, stored, top_of, whole
 
 BINS = 256
 CANDIDATES, QUERIES = 4096, 256
@@ -35,109 +35,117 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
         "vec_id IS NOT NULL AND embedding IS NOT NULL"
     )
     blocks = kept(rows.select("vec_id", "embedding").mapInArrow(
-        lambda b: candidate_blocks(b, scale), "dim int, n int, size long, top long, kind string, ids binary, m binary"), "candidates")
+        lambda b: candidate_blocks(b, scale), "dim int, n int, top double, kind string, ids binary, m binary"), "candidates")
     facts = blocks.agg(F.count("*"), F.max("top")).first()
     spread = max(1, min(facts[0], int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    blocks = blocks.withColumn("p", F.pmod(F.xxhash64("ids"), F.lit(spread)).cast("int")).drop("size", "top")
+    blocks = blocks.withColumn("p", F.pmod(F.xxhash64("ids"), F.lit(spread)).cast("int")).drop("top")
 
-    queries = rows.where("q").select("vec_id", "embedding").mapInArrow(lambda b: query_rows(b, scale), "qid long, dim int, reach double, v binary")
-    queries = kept(queries.groupBy("qid").agg(F.min(F.struct("v", "dim", "reach")).alias("x")).select("qid", "x.*"), "queries")
+    queries = rows.where("q").select("vec_id", "embedding").mapInArrow(lambda b: query_rows(b, scale), "qid long, dim int, reach double, kind string, v binary")
+    queries = kept(queries.groupBy("qid").agg(F.min(F.struct("kind", "v", "dim", "reach")).alias("x")).select("qid", "x.*"), "queries")
     n_blocks = max(1, -(-queries.count() // QUERIES))
     queries = queries.withColumn("block", F.pmod(F.xxhash64("qid"), F.lit(n_blocks)).cast("int"))
-    # A score is at most the query's sum of sizes times the largest component.
-    edge = F.least(F.col("reach") * float(facts[1] or 0), F.lit(float(1 << 62))).cast("long")
-    state = queries.select("qid", (-edge - 1).alias("lo"), (edge + 1).alias("hi"), F.lit(0).cast("long").alias("above"))
+    # A score is at most the query's sum of sizes times the largest component; both are rounded, so a little more.
+    edge = F.col("reach") * float(facts[1] or 0) * 1.001 + 1
+    edge = F.when(edge >= float(1 << 63), F.lit(LAST)).otherwise(edge).cast("long")
+    low = F.when(edge == LAST, F.lit(-LAST - 1)).otherwise(-edge)
+    state = queries.select("qid", low.alias("lo"), edge.alias("last"), F.lit(0).cast("long").alias("above"))
 
     def pairs(state: DataFrame) -> DataFrame:
         grouped = queries.join(state, "qid").groupBy("block", "dim").agg(
-            F.collect_list(F.struct("qid", "v", "lo", "hi", "above")).alias("qs")
+            F.collect_list(F.struct("qid", "kind", "v", "lo", "last", "above")).alias("qs")
         )
         dealt = grouped.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
         return blocks.join(dealt, ["p", "dim"]).select("dim", "n", "kind", "ids", "m", "block", "qs")
 
     while True:
         state = kept(state, "intervals")
-        widest = state.agg(F.max(F.col("hi") - F.col("lo"))).first()[0]
-        if widest is None or widest <= 1:
+        if state.where("lo < last").isEmpty():
             break
-        counts = pairs(state).mapInArrow(lambda b: histograms(b, k), "qid long, bin int, n long")
+        counts = pairs(state).mapInArrow(lambda b: histograms(b, k, scale), "qid long, bin int, n long")
         counts = counts.groupBy("qid", "bin").agg(F.sum("n").alias("n"))
         above = F.sum("n").over(Window.partitionBy("qid").orderBy(F.desc("bin")))
         reached = counts.join(state, "qid").withColumn("upto", above + F.col("above")).where(F.col("upto") >= k)
         reached = reached.groupBy("qid").agg(F.max(F.struct("bin", "upto", "n")).alias("x"))
-        step = F.expr(f"(hi - lo + {BINS - 1}) div {BINS}")
-        low = F.col("lo") + F.col("x.bin") * step
-        # Fewer than k candidates: everything counts, so the threshold falls below all scores.
+        # Intervals may be as wide as 64 bits, so their ends are reckoned as decimals.
+        lo, last = (F.col(c).cast("decimal(20,0)") for c in ("lo", "last"))
+        step = F.floor((last - lo) / BINS) + 1
+        low = lo + F.col("x.bin") * step
+        # Fewer than k candidates: everything counts, so the threshold falls to the lowest score.
         state = state.join(reached, "qid", "left").select(
-            "qid", F.coalesce(low, F.col("lo")).alias("lo"),
-            F.when(F.col("x").isNull(), F.col("lo") + 1).otherwise(F.least("hi", low + step)).alias("hi"),
+            "qid", F.coalesce(low.cast("long"), F.col("lo")).alias("lo"),
+            F.when(F.col("x").isNull(), F.col("lo")).otherwise(F.least(last, low + step - 1).cast("long")).alias("last"),
             F.coalesce(F.col("x.upto") - F.col("x.n"), F.col("above")).alias("above"),
         )
-    found = pairs(state).mapInArrow(lambda b: best(b, k), "query_id long, vec_id long, score long")
+    found = pairs(state).mapInArrow(lambda b: best(b, k, scale), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
 
-def whole_numbers(batch: pa.RecordBatch, scale: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and integer matrix of the usable vectors, by length."""
+def usable(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and components (as doubles) of the vectors that take part, by length."""
     lists = batch.column(1)
-    flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    flat, ends = lists.values.to_numpy(zero_copy_only=False).astype(np.float64), lists.offsets.to_numpy()
     ids, sizes = batch.column(0).to_numpy(), np.diff(ends)
-    with np.errstate(invalid="ignore", over="ignore"):
-        scaled = np.floor(flat.astype(np.float64) * scale)  # null components are NaN here
-    good = np.abs(scaled) < float(1 << 62)
+    good = np.isfinite(flat)  # null components are NaN here
     for size in np.unique(sizes):
         at = np.flatnonzero(sizes == size)
         index = ends[at][:, None] + np.arange(size)
-        usable = good[index].all(axis=1)
-        if usable.any():
-            yield ids[at[usable]], scaled[index[usable]].astype(np.int64)
+        ok = good[index].all(axis=1)
+        if ok.any():
+            yield ids[at[ok]], flat[index[ok]]
 
 
 def candidate_blocks(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for ids, matrix in whole_numbers(batch, scale):
+        for ids, x in usable(batch):
             for k in range(0, len(ids), CANDIDATES):
-                part = matrix[k : k + CANDIDATES]
-                top = int(np.abs(part).max(initial=0))
-                kind = next((t for t in ("<i2", "<i4") if top <= np.iinfo(t).max), "<i8")
+                part = x[k : k + CANDIDATES]
+                matrix = whole(part, scale)
+                kind, raw = stored(matrix, part)
                 yield pa.RecordBatch.from_pydict({
-                    "dim": pa.array([part.shape[1]], pa.int32()), "n": pa.array([len(part)], pa.int32()), "size": [part.size], "top": [top],
-                    "kind": [kind], "ids": [ids[k : k + CANDIDATES].astype("<i8").tobytes()], "m": [part.astype(kind).tobytes()],
+                    "dim": pa.array([part.shape[1]], pa.int32()), "n": pa.array([len(part)], pa.int32()), "top": [as_double(top_of(matrix))],
+                    "kind": [kind], "ids": [ids[k : k + CANDIDATES].astype("<i8").tobytes()], "m": [raw],
                 })
 
 
 def query_rows(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for ids, matrix in whole_numbers(batch, scale):
+        for ids, x in usable(batch):
+            matrices = [whole(row, scale) for row in x]
+            forms = [stored(m, row) for m, row in zip(matrices, x)]
             yield pa.RecordBatch.from_pydict({
-                "qid": pa.array(ids, pa.int64()), "dim": pa.array([matrix.shape[1]] * len(ids), pa.int32()),
-                "reach": np.abs(matrix.astype(np.float64)).sum(axis=1), "v": [row.astype("<i8").tobytes() for row in matrix],
+                "qid": pa.array(ids, pa.int64()), "dim": pa.array([x.shape[1]] * len(ids), pa.int32()),
+                "reach": [as_double(sum(abs(v) for v in m.tolist())) for m in matrices], "kind": [f[0] for f in forms], "v": [f[1] for f in forms],
             })
 
 
+def as_double(n: int) -> float:
+    return float(min(n, 1 << 1000))
+
+
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products of all rows of a with all rows of b."""
-    reach = float(np.abs(a.astype(np.float64)).max(initial=0)) * float(np.abs(b.astype(np.float64)).max(initial=0)) * max(1, a.shape[1])
+    """Exact integer products of all rows of a with all rows of b, cut to 64 bits."""
+    reach = top_of(a) * top_of(b) * max(1, a.shape[1])
     if reach < 1 << 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    if reach < 1 << 62:
-        return a.astype(np.int64) @ b.T
-    edge = (1 << 62) - 1
-    return np.clip(a.astype(object) @ b.T.astype(object), -edge, edge).astype(np.int64)
+    if reach < 1 << 63:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    return clamped(a.astype(object) @ b.T.astype(object))
 
 
 class Block:
     """The queries of one block with their intervals."""
 
-    def __init__(self, dim: int, queries: list[dict]):
+    def __init__(self, dim: int, queries: list[dict], scale: int):
         self.ids = np.array([q["qid"] for q in queries], np.int64)
-        self.matrix = np.frombuffer(b"".join(q["v"] for q in queries), "<i8").reshape(len(queries), dim)
-        self.lo, self.hi, self.above = (np.array([q[c] for q in queries], np.int64) for c in ("lo", "hi", "above"))
-        self.step = (self.hi - self.lo + BINS - 1) // BINS
+        vectors = [loaded(q["kind"], q["v"], scale) for q in queries]
+        self.matrix = np.stack(vectors).reshape(len(queries), dim)
+        self.lo, self.last, self.above = (np.array([q[c] for q in queries], np.int64) for c in ("lo", "last", "above"))
+        # Differences of 64-bit integers fit unsigned ones.
+        self.step = (self.last.view(np.uint64) - self.lo.view(np.uint64)) // np.uint64(BINS) + np.uint64(1)
 
 
-def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, Block, np.ndarray, np.ndarray, np.ndarray]]:
+def scored(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[tuple[int, int, Block, np.ndarray, np.ndarray, np.ndarray]]:
     """For each pair of blocks: block number, length, queries, candidate ids, scores, and which are no query's own."""
     known: dict[tuple[int, int], Block] = {}
     for batch in batches:
@@ -146,14 +154,14 @@ def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, Block,
             if (number, dim) not in known:
                 if len(known) >= HELD:
                     known.clear()
-                known[number, dim] = Block(dim, batch.column(6)[i].as_py())
+                known[number, dim] = Block(dim, batch.column(6)[i].as_py(), scale)
             block = known[number, dim]
             ids = np.frombuffer(ids, "<i8")
-            scores = products(np.frombuffer(m, kind).reshape(n, dim), block.matrix)
+            scores = products(loaded(kind, m, scale).reshape(n, dim), block.matrix)
             yield number, dim, block, ids, scores, ids[:, None] != block.ids
 
 
-def histograms(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+def histograms(batches: Iterator[pa.RecordBatch], k: int, scale: int) -> Iterator[pa.RecordBatch]:
     held: dict[tuple[int, int], tuple[Block, np.ndarray]] = {}
 
     def send() -> Iterator[pa.RecordBatch]:
@@ -166,25 +174,26 @@ def histograms(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordB
             )
         held.clear()
 
-    for number, dim, block, _, scores, others in scored(batches):
+    for number, dim, block, _, scores, others in scored(batches, scale):
         if (number, dim) not in held and len(held) >= HELD:
             yield from send()
         _, counts = held.setdefault((number, dim), (block, np.zeros((len(block.ids), BINS), np.int64)))
-        inside = others & (scores >= block.lo) & (scores < block.hi)
+        inside = others & (scores >= block.lo) & (scores <= block.last)
         row, column = np.nonzero(inside)
-        slot = column * BINS + (scores[row, column] - block.lo[column]) // block.step[column]
+        above = scores[row, column].view(np.uint64) - block.lo[column].view(np.uint64)
+        slot = column * BINS + (above // block.step[column]).astype(np.int64)
         counts += np.bincount(slot, minlength=counts.size).reshape(counts.shape)
     yield from send()
 
 
-def best(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+def best(batches: Iterator[pa.RecordBatch], k: int, scale: int) -> Iterator[pa.RecordBatch]:
     ties: dict[int, np.ndarray] = {}
 
     def rows(qid, vec, score) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({"query_id": np.asarray(qid, np.int64), "vec_id": np.asarray(vec, np.int64), "score": np.asarray(score, np.int64)})
 
     levels: dict[int, int] = {}
-    for _, _, block, ids, scores, others in scored(batches):
+    for _, _, block, ids, scores, others in scored(batches, scale):
         row, column = np.nonzero(others & (scores > block.lo))
         yield rows(block.ids[column], ids[row], scores[row, column])
         row, column = np.nonzero(others & (scores == block.lo))

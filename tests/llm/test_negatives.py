@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import hard_negatives
-from millrace.llm.hard_negatives import LAST, Anchor, Block, Wanted, stored, whole
+from millrace.llm.hard_negatives import Anchor, Block, Wanted
+from millrace.llm.vectors import LAST, stored, whole
 
 DDL = "vec_id int, label int, embedding array<double>, score long, ids string"
 

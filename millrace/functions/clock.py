@@ -45,9 +45,13 @@ def date_bin(width: timedelta, time: Column, origin: datetime | str = EPOCH) ->
     return F.timestamp_micros(us - F.pmod(offset, F.lit(micros(width))))
 
 
+def floor_div(value: Column, unit: int) -> Column:
+    """Whole number of units, rounded down, in integers: doubles lose the last digits of large values."""
+    return F.call_function("div", value - F.pmod(value, F.lit(unit)), F.lit(unit))
+
+
 def utc_date(time: Column) -> Column:
-    us = F.unix_micros(time)
-    return F.date_from_unix_date(((us - F.pmod(us, F.lit(_DAY_US))) / F.lit(_DAY_US)).cast("int"))
+    return F.date_from_unix_date(floor_div(F.unix_micros(time), _DAY_US).cast("int"))
 
 
 def utc_hour(time: Column) -> Column:
@@ -68,11 +72,16 @@ def iso_string(time: Column) -> Column:
 
 
 def unix_nanos(time: Column) -> Column:
-    return F.unix_micros(time) * F.lit(1000)
+    """Null beyond the years that 64-bit nanoseconds reach, 1677 to 2262."""
+    return F.try_multiply(F.unix_micros(time), F.lit(1000))
 
 
 def from_unix_nanos(nanos: Column) -> Column:
-    return F.timestamp_micros(((nanos - F.pmod(nanos, F.lit(1000))) / F.lit(1000)).cast("bigint"))
+    """The microsecond that holds the nanosecond."""
+    # The first nanoseconds of 64 bits have no whole microsecond below them that fits.
+    whole = 2**63 // 1000
+    us = F.when(nanos < F.lit(-whole * 1000), F.lit(-whole - 1)).otherwise(floor_div(nanos, 1000))
+    return F.timestamp_micros(us)
 
 
 def from_unix_seconds(seconds: Column) -> Column:

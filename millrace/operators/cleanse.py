@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.clock import utc_date
 from millrace.functions.numeric import is_finite, parse_number, whole_number
-from millrace.schemas import MEASURES, RAW_SCHEMA, TAGS
+from millrace.schemas import ARRIVAL, MEASURES, RAW_SCHEMA, TAGS
 
 REQUIRED = (*TAGS, *MEASURES)
 
@@ -101,8 +101,9 @@ def cleanse(messages: DataFrame, max_future_skew: timedelta | None = None) -> Da
 
 
 def valid_readings(checked: DataFrame) -> DataFrame:
-    """Good rows in raw layout, with the arrival time kept to order copies of a key."""
-    return _where(checked, F.col("reject_reason").isNull(), *RAW_SCHEMA.names, "received_at")
+    """Good rows in raw layout, with what is known of their arrival, which orders copies of a key."""
+    arrival = [c for c in ARRIVAL.names if c in checked.columns]
+    return _where(checked, F.col("reject_reason").isNull(), *RAW_SCHEMA.names, *arrival)
 
 
 def rejected(checked: DataFrame) -> DataFrame:
@@ -120,6 +121,20 @@ def reject_counts(checked: DataFrame) -> DataFrame:
     return rejected(checked).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("messages"))
 
 
+#: Every reason a message can be rejected for, in the order of the checks.
+REASONS = (
+    "bad_json", *(f"missing:{f}" for f in REQUIRED), *(f"nan:{m}" for m in MEASURES),
+    *(f"non_finite:{m}" for m in MEASURES), "future_time",
+)
+
+
+def ingest_metrics() -> list[Column]:
+    """Aggregates over checked messages: how many came, how many are good, and how many each reason rejects."""
+    reason = F.col("reject_reason")
+    counts = [F.count_if(reason == r).alias(r) for r in REASONS]
+    return [F.count(F.lit(1)).alias("messages"), F.count_if(reason.isNull()).alias("valid"), *counts]
+
+
 def rule_project(messages: DataFrame) -> DataFrame:
     """Flat columns of the unchecked route: device time as ``ts_ms``, broker time as ``mqtt_ts``."""
     parsed = messages.withColumn("_json", F.from_json("payload", _PAYLOAD_SCHEMA))

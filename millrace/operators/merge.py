@@ -11,12 +11,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 
-def dedupe_last(rows: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """One whole row per key, the last by ``order_by``, a timestamp or integer; null comes first.
+def dedupe_last(rows: DataFrame, keys: Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
+    """One whole row per key, the last by ``order_by``; null comes first.
 
-    A hash aggregate, so of a key with very many copies each task passes on one row. All columns
-    are picked by the same ordering, hence from the same row; of rows that tie, it is either.
+    An aggregate, so of a key with very many copies each task passes on one row. One column, a
+    timestamp or integer, makes it a hash aggregate; all columns are picked by the same ordering, hence
+    from the same row, and of rows that tie it is either. A list of columns is compared one by one,
+    and of rows that tie the greatest values stay, in the order of the columns: the same in every run.
     """
+    if not isinstance(order_by, str):
+        order = list(order_by)
+        values = [c for c in rows.columns if c not in (*keys, *order)]
+        last = rows.groupBy(*keys).agg(F.max(F.struct(*order, *values)).alias("_last"))
+        return last.select(*keys, "_last.*").select(*rows.columns)
     arrival = F.col(order_by)
     if isinstance(rows.schema[order_by].dataType, TimestampType):
         arrival = F.unix_micros(arrival)

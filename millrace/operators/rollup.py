@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.clock import Instant, date_bin
+from millrace.functions.clock import Instant, date_bin, instant
 from millrace.functions.numeric import zero_fill
 from millrace.functions.text import default_tag
 from millrace.operators.scope import time_range
@@ -89,6 +89,11 @@ def late_rows(raw: DataFrame, received_at: str, width: timedelta, lateness: time
     return raw.filter(F.col(received_at) >= closes)
 
 
+def behind(raw: DataFrame, edge: Instant, width: timedelta = MINUTE) -> DataFrame:
+    """Readings whose bucket was closed at ``edge``."""
+    return raw.filter(date_bin(width, F.col("time")) + F.lit(width) <= instant(edge))
+
+
 def _rollup(rows: DataFrame, width: timedelta, measures: list[Column], count: Column | None) -> DataFrame:
     if count is not None:
         measures = [*measures, count.alias("sample_count")]

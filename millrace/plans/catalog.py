@@ -5,6 +5,7 @@ Jobs that write go to the cluster's shared folder and return what they wrote.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import timedelta
@@ -18,18 +19,19 @@ from millrace.functions.numeric import half_up, is_finite
 from millrace.operators import cleanse as c
 from millrace.operators import reports as r
 from millrace.operators import sections as s
+from millrace.operators.gaps import gap_report as find_gaps
 from millrace.operators.merge import dedupe_last, merge_last
 from millrace.operators.meter import meter_to_delta
 from millrace.operators.rollup import completeness, late_rows, rollup_hour, rollup_minute
 from millrace.operators.scope import retain
 from millrace.plans import dashboard as d
 from millrace.plans import stored
-from millrace.plans.jobs import MINUTE_JOB, backfill, checkpointed_rollup, ingest_batch, run_rollup
+from millrace.plans.jobs import HOUR_JOB, MINUTE_JOB, backfill, checkpointed_rollup, ingest_batch, run_rollup
 from millrace.schemas import DAY, HOUR_TIER, KEY, MINUTE, MINUTE_TIER, RAW_TIER
 from millrace.session import shared_dir
 from millrace.sources import messages as m
 from millrace.sources.events import batched_messages, events, messages, readings
-from millrace.sources.line_protocol import read_line_protocol, rejected_lines, to_lines, write_line_protocol
+from millrace.sources.line_protocol import from_lines, read_line_protocol, rejected_lines, to_lines, write_line_protocol
 from millrace.sources.tiers import TierTables
 from millrace.streaming.rollups import hour_stream, ingest_stream, minute_stream, start_rollup
 
@@ -140,6 +142,31 @@ def completeness_alert(spark, sf):
     return completeness(hour(spark, sf, "wide"), HOUR_TIER.expected_samples, threshold=0.02)
 
 
+@query
+def gap_report(spark, sf):
+    """Minutes without a reading of the five machines' thirty days."""
+    return find_gaps(raw(spark, sf, "wide"))
+
+
+@query
+def gap_report_hours(spark, sf):
+    """Hours that the stored hour tier lacks, of every machine of the fleet."""
+    return find_gaps(hour(spark, sf, "wide", fleet=True), timedelta(hours=1))
+
+
+@query
+def empty_values(spark, sf):
+    """Rows without power, without location, and without time: zeros after the aggregate, a tag before it, no bucket."""
+    rows = raw(spark, sf, extra=("event_type", "event_id"))
+    spoiled = rows.withColumns({
+        "power_kw": F.when(F.col("event_type") != "error", F.col("power_kw")),
+        "voltage_v": F.when(F.col("machine_id") != "machine_03", F.col("voltage_v")),
+        "location": F.when(F.col("location") != "office", F.col("location")),
+        "time": F.when(F.col("event_id") % 10 != 0, F.col("time")),
+    })
+    return rollup_minute(spoiled)
+
+
 @query
 def late_readings(spark, sf):
     """Arrival up to 100 s after the reading, by its number."""
@@ -338,6 +365,24 @@ def rule_project(spark, sf):
     return flat.withColumn("ts_ms", F.coalesce("ts_ms", F.lit(-1)))
 
 
+@query
+def ingest_counts(spark, sf):
+    """What the ingest counts while it writes; nothing is read a second time for it."""
+    tables = scratch_tables(spark, "counts")
+    counts = ingest_batch(tables, messages(events(spark, sf)).drop("event_id"), f"{tables.root}/quarantine")
+    rows = [("messages", counts.messages), ("valid", counts.valid), *counts.rejected.items()]
+    return spark.createDataFrame(rows, "outcome string, messages bigint")
+
+
+@query
+def outgoing_payloads(spark, sf):
+    """The payloads read back, field by field."""
+    out = m.to_messages(raw(spark, sf), F.col("time"))
+    fields = "time timestamp, machine_id string, location string, power_kw double, energy_kwh double, " \
+        "voltage_v double, current_a double, power_factor double"
+    return out.select("topic", F.from_json("payload", fields).alias("p"), "received_at").select("topic", "p.*", "received_at")
+
+
 @query
 def outgoing_topics(spark, sf):
     out = m.to_messages(raw(spark, sf), F.col("time"))
@@ -402,6 +447,91 @@ def upsert_null_tags(spark, sf):
     return tables.read(RAW_TIER)
 
 
+@query
+def upsert_versions(spark, sf):
+    """Three batches in the wrong order: purchases corrected twice, errors once, and last the first copies of all."""
+    tables = scratch_tables(spark, "versions")
+    first = raw(spark, sf, extra=("event_type",)).withColumn("received_at", F.col("time"))
+    for times, minutes_late, kinds in ((3, 30, ("purchase",)), (2, 10, ("purchase", "error")), (1, 0, None)):
+        chosen = first if kinds is None else first.filter(F.col("event_type").isin(*kinds))
+        later = F.col("received_at") + F.lit(timedelta(minutes=minutes_late))
+        tables.upsert(RAW_TIER, chosen.withColumns({"power_kw": F.col("power_kw") * times, "received_at": later}))
+    return tables.read(RAW_TIER, versions=True).drop("source_partition", "source_offset")
+
+
+@query
+def upsert_settled_ties(spark, sf):
+    """Copies of one arrival time: the later offset of the higher partition stays, whichever batch brings it."""
+    tables = scratch_tables(spark, "ties")
+    rows = raw(spark, sf, extra=("event_id",)).withColumn("received_at", F.col("time"))
+    for batch in range(3):
+        place = {"source_partition": ((F.col("event_id") + batch) % 3).cast("int"), "source_offset": F.col("event_id")}
+        copies = rows.withColumns({**place, "power_kw": F.col("power_kw") + batch})
+        tables.upsert(RAW_TIER, copies.union(copies.withColumn("source_offset", F.lit(-1).cast("long"))))
+    return tables.read(RAW_TIER)
+
+
+@query
+def late_repair(spark, sf):
+    """A seventh of the readings come three hours late; the jobs make just their minutes and hours again."""
+    tables = scratch_tables(spark, "late-repair")
+    rows = raw(spark, sf, extra=("event_id",))
+    late = F.col("event_id") % 7 == 0
+    for part, now, span in ((~late, DAY_END, timedelta(hours=12)), (late, "2024-01-01 15:00:00", None)):
+        arrived = rows.filter(part).drop("event_id").withColumn("received_at", F.lit(to_utc(now)))
+        tables.upsert(RAW_TIER, arrived, batch=f"until {now}")
+        for job in (MINUTE_JOB, HOUR_JOB):
+            run_rollup(tables, replace(job, lookback=span or job.lookback), now, repair=True)
+    both = [tables.read(t).withColumn("tier", F.lit(t.name)) for t in (MINUTE_TIER, HOUR_TIER)]
+    return both[0].unionByName(both[1])
+
+
+@query
+def late_repair_marked(spark, sf):
+    """The same by the marked jobs, with minutes late to each other within one batch of changes."""
+    tables = scratch_tables(spark, "late-repair-marked")
+    rows = raw(spark, sf, extra=("event_id",))
+    for job in (MINUTE_JOB, HOUR_JOB):
+        tables.write_mark(job.job, to_utc("2024-01-01"))
+    for part, now in ((0, "2024-01-01 06:00:30"), (1, "2024-01-01 09:00:30"), (2, "2024-01-01 12:00:30")):
+        tables.upsert(RAW_TIER, rows.filter(F.col("event_id") % 3 == part).drop("event_id"), batch=str(part))
+        for job in (MINUTE_JOB, HOUR_JOB):
+            checkpointed_rollup(tables, job, now, repair=True)
+    both = [tables.read(t).withColumn("tier", F.lit(t.name)) for t in (MINUTE_TIER, HOUR_TIER)]
+    return both[0].unionByName(both[1])
+
+
+@query
+def machine_lookup(spark, sf):
+    """Three machines of the fleet out of the stored raw tier."""
+    tables = scratch_tables(spark, "lookup")
+    tables.write(RAW_TIER, raw(spark, sf, "wide", fleet=True))
+    return tables.read(RAW_TIER, "2024-01-02", "2024-01-25", machines=[f"machine_{k:06d}" for k in (3, 17, 40)])
+
+
+@query
+def catalog_scan(spark, sf):
+    """The raw tier by name, after a refresh of the hours written."""
+    tables = scratch_tables(spark, "catalog")
+    database = f"plant_{uuid.uuid4().hex}"
+    tables.create(database)
+    tables.write(RAW_TIER, raw(spark, sf))
+    tables.refresh(database, (to_utc("2024-01-01"), to_utc(DAY_END)))
+    return spark.sql(f"SELECT {', '.join(RAW_TIER.schema.names)} FROM {database}.{RAW_TIER.name} WHERE date = DATE '2024-01-01'")
+
+
+@query
+def reset_minute_job(spark, sf):
+    """A job that is reset begins anew at its first span, here all twelve hours."""
+    tables = scratch_tables(spark, "reset")
+    tables.write(RAW_TIER, raw(spark, sf))
+    tables.write_mark(MINUTE_JOB.job, to_utc(DAY_END))
+    checkpointed_rollup(tables, MINUTE_JOB, DAY_END)
+    tables.reset_job(MINUTE_JOB.job)
+    checkpointed_rollup(tables, replace(MINUTE_JOB, first_span=timedelta(hours=12)), "2024-01-01 12:00:05")
+    return tables.read(MINUTE_TIER)
+
+
 @query
 def quarantine_table(spark, sf):
     """Two batches of a day; each keeps its rejects."""
@@ -523,6 +653,14 @@ def line_protocol_roundtrip(spark, sf):
     return read_line_protocol(spark, path, MINUTE_TIER)
 
 
+@query
+def line_protocol_readings(spark, sf):
+    """Readings with their odd microseconds out and in again."""
+    path = shared_dir(spark, "lines")
+    write_line_protocol(raw(spark, sf), path, RAW_TIER)
+    return read_line_protocol(spark, path, RAW_TIER)
+
+
 @query
 def line_protocol_escaped(spark, sf):
     """Tags with every character that is escaped."""
@@ -534,17 +672,26 @@ def line_protocol_escaped(spark, sf):
 
 @query
 def line_protocol_rejects(spark, sf):
-    """One machine's lines lose their time, another's a number."""
+    """One machine's lines lose their time, another's a number, and a third one's time is out of range."""
     line = F.col("value")
     spoiled = (
         F.when(line.contains("machine_01"), F.regexp_replace(line, " [0-9]+$", ""))
         .when(line.contains("machine_02"), F.regexp_replace(line, "sum_energy_kwh=", "sum_energy_kwh=x"))
+        .when(line.contains("machine_03"), F.regexp_replace(line, " [0-9]+$", " 99999999999999999999"))
         .otherwise(line)
     )
     bad = rejected_lines(to_lines(minute(spark, sf), MINUTE_TIER).select(spoiled.alias("value")), MINUTE_TIER)
     return bad.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("lines"))
 
 
+@query
+def line_protocol_seconds(spark, sf):
+    """Lines in whole seconds; those of one machine have a second that no time can hold, and are left out."""
+    line = F.regexp_replace("value", " ([0-9]+)[0-9]{9}$", " $1")
+    line = F.when(line.contains("machine_03"), F.regexp_replace(line, " [0-9]+$", " 9223372036854775807")).otherwise(line)
+    return from_lines(to_lines(minute(spark, sf), MINUTE_TIER).select(line.alias("value")), MINUTE_TIER, "s")
+
+
 # Streams, run over all there is. It comes as one batch: in several, files read in any other order
 # than that of their times would be late to each other.
 

@@ -96,6 +96,16 @@ VALID = f"""{MESSAGES}, valid AS (SELECT
     power_kw, energy_kwh, voltage_v, current_a, power_factor, received_at
     FROM messages WHERE reject_reason IS NULL)"""
 
+
+def gaps(base: str, source: str, bucket: str) -> str:
+    """From each bucket with a reading to the machine's next one, where that is not the next bucket."""
+    return f"""{base}, present AS (SELECT DISTINCT machine_id, location, date_trunc('{bucket}', time) AS b FROM {source}),
+        ahead AS (SELECT *, b + INTERVAL 1 {bucket} AS gap_start,
+            lead(b) OVER (PARTITION BY machine_id, location ORDER BY b) AS gap_end FROM present)
+        SELECT machine_id, location, gap_start, gap_end,
+            date_diff('{bucket}', gap_start, gap_end)::bigint AS missing FROM ahead WHERE gap_end > gap_start"""
+
+
 RESENT = f"""WITH old AS ({raw(extra=', event_type')}), new AS (SELECT
     CASE WHEN event_type IN ('purchase', 'error') THEN time ELSE time + INTERVAL 1 DAY END AS time,
     machine_id, location, power_kw + 1 AS power_kw, energy_kwh, voltage_v, current_a, power_factor FROM old),
@@ -135,6 +145,15 @@ ORACLES: dict[str, str] = {
         {fixed('sample_count / 6.0::double')} AS completeness FROM minutes""",
     "completeness_alert": f"""{WIDE} SELECT {KEYS}, sample_count, {fixed('sample_count / 360.0::double')}
         AS completeness FROM hours WHERE sample_count / 360.0::double < 0.02::double""",
+    "gap_report": gaps(f"WITH raw AS ({raw('ts')})", "raw", "minute"),
+    "gap_report_hours": gaps(WIDE_FLEET, "hours", "hour"),
+    "empty_values": f"""WITH raw AS ({raw(extra=', event_type, event_id')}), spoiled AS (SELECT * REPLACE (
+        CASE WHEN event_type <> 'error' THEN power_kw END AS power_kw,
+        CASE WHEN machine_id <> 'machine_03' THEN voltage_v END AS voltage_v,
+        CASE WHEN location <> 'office' THEN location ELSE 'unknown' END AS location) FROM raw WHERE event_id % 10 <> 0),
+        minutes AS ({minutes('spoiled')}), filled AS (SELECT * REPLACE
+        ({', '.join(f'coalesce({c}, 0) AS {c}' for c in TIER_MEASURES)}) FROM minutes)
+        SELECT {TIER_ROUNDED} FROM filled""",
     "late_readings": f"""WITH raw AS ({raw(extra=', event_id')}), arrived AS (SELECT *,
         time + to_seconds(event_id % 101) AS received_at FROM raw)
         SELECT {KEYS}, received_at, event_id FROM arrived
@@ -212,6 +231,9 @@ ORACLES: dict[str, str] = {
         FROM messages WHERE reject_reason IS NOT NULL""",
     "reject_counts": f"""{MESSAGES} SELECT reject_reason, count(*) AS messages FROM messages
         WHERE reject_reason IS NOT NULL GROUP BY ALL""",
+    "ingest_counts": f"""{MESSAGES}, outcomes AS (SELECT 'messages' AS outcome FROM messages
+        UNION ALL SELECT coalesce(reject_reason, 'valid') FROM messages)
+        SELECT outcome, count(*) AS messages FROM outcomes GROUP BY ALL""",
     "explode_batch": f"""WITH raw AS ({raw()}), both_times AS (SELECT *, time AS received_at FROM raw UNION ALL
         SELECT time + INTERVAL 10 SECOND AS time, machine_id, location, power_kw, energy_kwh, voltage_v, current_a,
         power_factor, time AS received_at FROM raw), cut AS (SELECT * REPLACE
@@ -231,6 +253,9 @@ ORACLES: dict[str, str] = {
         coalesce(ts_ms, -1) AS ts_ms, mqtt_ts FROM fields""",
     "outgoing_topics": f"""{FAST} SELECT 'energy/' || machine_id || '/data' AS topic, count(*) AS messages
         FROM raw GROUP BY ALL""",
+    "outgoing_payloads": f"""WITH raw AS ({raw()}), cut AS (SELECT * REPLACE
+        (make_timestamp(epoch_us(time) - epoch_us(time) % 1000) AS time), time AS received_at FROM raw)
+        SELECT 'energy/' || machine_id || '/data' AS topic, {RAW_ROUNDED}, received_at FROM cut""",
     "dedupe_last_write": f"""WITH raw AS ({raw(extra=', event_id')}) SELECT {KEYS}, {fixed('power_kw * 2')} AS power_kw,
         {rounded('energy_kwh', 'voltage_v', 'current_a', 'power_factor')}, event_id + 1 AS arrival FROM raw""",
     "upsert_merge": RESENT,
@@ -241,6 +266,18 @@ ORACLES: dict[str, str] = {
     "upsert_null_tags": f"""{FAST}, merged AS (SELECT * REPLACE
         (power_kw + 1 AS power_kw, nullif(location, 'office') AS location) FROM raw)
         SELECT {RAW_ROUNDED} FROM merged""",
+    "upsert_versions": f"""WITH raw AS ({raw(extra=', event_type')}), merged AS (SELECT * REPLACE
+        (power_kw * CASE event_type WHEN 'purchase' THEN 3 WHEN 'error' THEN 2 ELSE 1 END AS power_kw),
+        time + CASE event_type WHEN 'purchase' THEN INTERVAL 30 MINUTE WHEN 'error' THEN INTERVAL 10 MINUTE
+            ELSE INTERVAL 0 MINUTE END AS received_at FROM raw)
+        SELECT {RAW_ROUNDED}, received_at FROM merged""",
+    "upsert_settled_ties": f"""WITH raw AS ({raw(extra=', event_id')}), merged AS (SELECT * REPLACE
+        (power_kw + (2 - event_id % 3) AS power_kw) FROM raw)
+        SELECT {RAW_ROUNDED} FROM merged""",
+    "machine_lookup": f"""{WIDE_FLEET} SELECT {RAW_ROUNDED} FROM raw
+        WHERE machine_id IN ('machine_000003', 'machine_000017', 'machine_000040')
+        AND time >= TIMESTAMP '2024-01-02' AND time < TIMESTAMP '2024-01-25'""",
+    "catalog_scan": f"WITH raw AS ({raw()}) SELECT {RAW_ROUNDED} FROM raw",
     "quarantine_table": f"""{MESSAGES} SELECT topic, received_at, reject_reason,
         'batch ' || (event_id % 2)::varchar AS batch FROM messages WHERE reject_reason IS NOT NULL""",
     "minute_job_nocount": f"{FAST} SELECT {TIER_UNCOUNTED}, NULL::bigint AS sample_count FROM minutes",
@@ -253,11 +290,13 @@ ORACLES: dict[str, str] = {
     "backfill_tiers": f"""{FAST} SELECT {TIER_ROUNDED}, 'energy_minute' AS tier FROM minutes
         UNION ALL SELECT {TIER_ROUNDED}, 'energy_hour' AS tier FROM hours""",
     "line_protocol_roundtrip": f"{FAST} SELECT {TIER_ROUNDED} FROM minutes",
+    "line_protocol_readings": f"WITH raw AS ({raw()}) SELECT {RAW_ROUNDED} FROM raw",
     "line_protocol_escaped": f"""{FAST}, tagged AS (SELECT * REPLACE (location || ' a,b=c' AS location) FROM minutes)
         SELECT {TIER_ROUNDED} FROM tagged""",
-    "line_protocol_rejects": f"""{FAST} SELECT CASE machine_id WHEN 'machine_01' THEN 'no time' ELSE 'bad number' END
-        AS reject_reason, count(*) AS lines FROM minutes WHERE machine_id IN ('machine_01', 'machine_02')
-        GROUP BY ALL""",
+    "line_protocol_rejects": f"""{FAST} SELECT CASE machine_id WHEN 'machine_01' THEN 'no time'
+        WHEN 'machine_02' THEN 'bad number' ELSE 'bad time' END AS reject_reason, count(*) AS lines FROM minutes
+        WHERE machine_id IN ('machine_01', 'machine_02', 'machine_03') GROUP BY ALL""",
+    "line_protocol_seconds": f"{FAST} SELECT {TIER_ROUNDED} FROM minutes WHERE machine_id <> 'machine_03'",
     "stream_minute": f"""{FAST} SELECT {TIER_ROUNDED} FROM minutes
         WHERE time + INTERVAL 1 MINUTE <= (SELECT max(time) FROM raw) - INTERVAL 1 MINUTE""",
     "stream_hour": f"""{FAST}, closed AS (SELECT * FROM minutes
@@ -285,3 +324,6 @@ ORACLES["stored_hourly_report"] = ORACLES["hourly_report_week"]
 ORACLES["stored_daily_summary"] = daily(WIDE)
 ORACLES["daily_summary"] = daily(WIDE)
 ORACLES["fleet_daily_summary"] = daily(WIDE_FLEET)
+# Tiers that late readings reached in the end are those of one pass over all readings.
+ORACLES["late_repair"] = ORACLES["late_repair_marked"] = ORACLES["backfill_tiers"]
+ORACLES["reset_minute_job"] = ORACLES["incremental_minute"]

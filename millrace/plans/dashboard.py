@@ -8,6 +8,7 @@ holds the whole document.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -33,6 +34,7 @@ from millrace.operators.sections import (
 )
 from millrace.schemas import DAY, HOUR_TIER, MINUTE_TIER, RAW_TIER, Tier
 from millrace.session import ensure_checkpoint_dir
+from millrace.sources.folders import Folders
 from millrace.sources.tiers import TierTables
 
 log = logging.getLogger(__name__)
@@ -151,6 +153,44 @@ def write_dashboard(document: DataFrame, path: str) -> None:
     document.select("text").write.mode("overwrite").text(path)
 
 
+@dataclass(frozen=True)
+class PublishedDashboard(Folders):
+    """A dashboard that can be read while it is written anew.
+
+    Every publication is a folder of its own. A pointer, an empty folder made in one step when the
+    text is complete, carries its number and name; readers take the highest. Publications before the
+    last ``keep`` go, so a reader has that long to finish. One writer at a time.
+    """
+
+    path: str
+    keep: int = 3
+
+    def publish(self, document: DataFrame) -> str:
+        version = uuid.uuid4().hex
+        write_dashboard(document, f"{self.path}/versions/{version}")
+        number = max((n for n, _ in self._pointers()), default=0) + 1
+        self._fs_mkdirs(f"{self.path}/current/{number}-{version}")
+        pointers = self._pointers()
+        for n, name in pointers[: -self.keep]:
+            self._fs_delete(f"{self.path}/current/{n}-{name}")
+        pointed = {name for _, name in pointers[-self.keep :]}
+        for name in self._fs_list(f"{self.path}/versions"):  # also what a crash left without a pointer
+            if name not in pointed:
+                self._fs_delete(f"{self.path}/versions/{name}")
+        return version
+
+    def read(self) -> DataFrame:
+        """The text of the newest publication, as lines in file order; an error if there is none."""
+        pointers = self._pointers()
+        if not pointers:
+            raise FileNotFoundError(f"no dashboard is published in {self.path}")
+        return self.spark.read.text(f"{self.path}/versions/{pointers[-1][1]}")
+
+    def _pointers(self) -> list[tuple[int, str]]:
+        names = (name.split("-") for name in self._fs_list(f"{self.path}/current"))
+        return sorted((int(number), version) for number, version in names)
+
+
 def _realtime_open(total: str) -> str:
     return f',"realtime":{{"total_power_kw":{total},"machines":['
 

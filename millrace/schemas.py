@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 TAGS = ("machine_id", "location")
 KEY = ("machine_id", "location", "time")
@@ -40,12 +40,22 @@ RAW_SCHEMA = _schema(("power_kw", "energy_kwh", "voltage_v", "current_a", "power
 ROLLUP_SCHEMA = _schema(ROLLUP_MEASURES, True)
 
 
+# When and where a reading came in, compared in this order. It is the version of its row.
+ARRIVAL = StructType([
+    StructField("received_at", TimestampType()),
+    StructField("source_partition", IntegerType()),
+    StructField("source_offset", LongType()),
+])
+
+
 @dataclass(frozen=True)
 class Tier:
     """One table of the cascade.
 
     ``partitions`` are derived from ``time``. Raw and minute tiers are cut by hour as well as by
-    date, because the minute job rewrites every partition it touches once a minute.
+    date, because the minute job rewrites every partition it touches once a minute. ``version`` holds
+    columns that are stored with a row to tell which copy of a key is the later one; scans leave
+    them out unless asked for. ``feeds`` is the width of the buckets that are made from the tier.
     """
 
     name: str
@@ -53,9 +63,15 @@ class Tier:
     partitions: tuple[str, ...]
     bucket: timedelta | None = None
     expected_samples: int | None = None
+    version: StructType = StructType()
+    feeds: timedelta | None = None
+
+    @property
+    def stored(self) -> StructType:
+        return StructType([*self.schema.fields, *self.version.fields])
 
 
-RAW_TIER = Tier("energy_raw", RAW_SCHEMA, ("date", "hour_of_day"))
-MINUTE_TIER = Tier("energy_minute", ROLLUP_SCHEMA, ("date", "hour_of_day"), MINUTE, 6)
+RAW_TIER = Tier("energy_raw", RAW_SCHEMA, ("date", "hour_of_day"), version=ARRIVAL, feeds=MINUTE)
+MINUTE_TIER = Tier("energy_minute", ROLLUP_SCHEMA, ("date", "hour_of_day"), MINUTE, 6, feeds=HOUR)
 HOUR_TIER = Tier("energy_hour", ROLLUP_SCHEMA, ("date",), HOUR, 360)
 TIERS = (RAW_TIER, MINUTE_TIER, HOUR_TIER)

@@ -17,19 +17,22 @@ _TIMESTAMPS = {
     "ms": F.timestamp_millis,
     "s": F.timestamp_seconds,
 }
+# Last stamp of each precision whose time fits 64-bit microseconds; the first one is its negative.
+_LAST = {"ns": 2**63 - 1, "us": 2**63 - 1, "ms": (2**63 - 1) // 1000, "s": (2**63 - 1) // 1_000_000}
 
 
 def to_lines(rows: DataFrame, tier: Tier) -> DataFrame:
     """One text column ``value``. Integers carry the ``i`` suffix, times are nanoseconds.
 
     The form has neither empty tags nor numbers that are not finite; these are left out, and so
-    are rows without any value.
+    are rows without any value and rows whose time has no nanoseconds of 64 bits.
     """
     tags = [F.when(F.col(t) != "", F.concat(F.lit(f"{t}="), escape_tag(F.col(t)))) for t in TAGS]
     head = F.concat_ws(",", F.lit(tier.name), *tags)
     fields = F.concat_ws(",", *(_field(f.name, f.dataType) for f in _fields(tier.schema)))
-    line = F.concat_ws(" ", head, fields, unix_nanos(F.col("time")).cast("string"))
-    return rows.filter(fields != "").select(line.alias("value"))
+    nanos = unix_nanos(F.col("time"))
+    line = F.concat_ws(" ", head, fields, nanos.cast("string"))
+    return rows.filter((fields != "") & (nanos.isNotNull() | F.col("time").isNull())).select(line.alias("value"))
 
 
 def write_line_protocol(rows: DataFrame, path: str, tier: Tier) -> None:
@@ -51,7 +54,8 @@ def checked_lines(lines: DataFrame, tier: Tier, precision: str = "ns", default_t
         F.get(parts, F.lit(2)).alias("stamp"),
         F.size(parts).alias("n_parts"),
     )
-    time = _TIMESTAMPS[precision](F.col("stamp").try_cast("bigint"))
+    stamp = F.col("stamp").try_cast("bigint")
+    time = F.when(stamp.between(-_LAST[precision], _LAST[precision]), _TIMESTAMPS[precision](stamp))
     if default_time is not None:
         time = F.when(F.col("stamp").isNull(), instant(default_time)).otherwise(time)
     columns = [time.alias("time"), *(unescape_tag(_entry("tags", t)).alias(t) for t in TAGS)]

@@ -1,4 +1,7 @@
-"""Telemetry messages: ``(topic, payload, received_at)`` in batch or as a stream."""
+"""Telemetry messages: ``(topic, payload, received_at)`` in batch or as a stream.
+
+``source_partition`` and ``source_offset`` may follow; where they are given, they go on with the reading.
+"""
 
 from __future__ import annotations
 
@@ -17,11 +20,16 @@ def read_messages(spark: SparkSession, path: str, stream: bool = False, **option
 
 
 def from_kafka(records: DataFrame) -> DataFrame:
-    """Message columns from a Kafka source whose record key carries the telemetry topic."""
+    """Message columns from a Kafka source whose record key carries the telemetry topic.
+
+    Partition and offset settle which of two messages with one arrival time is the later one.
+    """
+    place = {"partition": F.col("partition").cast("int").alias("source_partition"), "offset": F.col("offset").cast("long").alias("source_offset")}
     return records.select(
         F.col("key").cast("string").alias("topic"),
         F.col("value").cast("string").alias("payload"),
         F.col("timestamp").alias("received_at"),
+        *(column for name, column in place.items() if name in records.columns),
     )
 
 

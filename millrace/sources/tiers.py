@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,8 @@ from pyspark.sql.types import BooleanType, DataType, DateType, IntegerType, Stru
 from millrace.functions.clock import (
     EPOCH,
     Instant,
+    date_bin,
+    floor_div,
     floor_to,
     instant,
     micros,
@@ -24,10 +26,12 @@ from millrace.functions.clock import (
     utc_date,
     utc_hour,
 )
+from millrace.functions.text import default_tag
 from millrace.operators.merge import dedupe_last, merge_last
 from millrace.operators.scope import retain, time_range
-from millrace.schemas import DAY, HOUR, KEY, TIERS, Tier
+from millrace.schemas import DAY, HOUR, KEY, TAGS, TIERS, Tier
 from millrace.session import shared_dir
+from millrace.sources.folders import Folders
 
 log = logging.getLogger(__name__)
 
@@ -35,11 +39,13 @@ Window = tuple[datetime, datetime]
 
 _PARTITION_TYPES = {"date": DateType(), "hour_of_day": IntegerType()}
 _PARTITION_VALUES = {"date": utc_date, "hour_of_day": utc_hour}
+# Lookups of single machines read only row groups that may hold them.
+BLOOM = {"parquet.bloom.filter.enabled#machine_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 _LABELS = {"is_new": BooleanType(), "is_changed": BooleanType()}
 
 
 @dataclass(frozen=True)
-class TierTables:
+class TierTables(Folders):
     """The tiers below one root folder, which every executor must be able to reach.
 
     A rewrite replaces whole partitions when its job commits. Readers may see the moment of the
@@ -61,7 +67,7 @@ class TierTables:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         names = []
         for tier in TIERS:
-            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tier.schema.fields)
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tier.stored.fields)
             columns += "".join(f", {p} {_PARTITION_TYPES[p].simpleString()}" for p in tier.partitions)
             name = f"{database}.{tier.name}"
             self.spark.sql(
@@ -84,14 +90,35 @@ class TierTables:
                     self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
             self.spark.catalog.refreshTable(name)
 
-    def read(self, tier: Tier, start: Instant | None = None, end: Instant | None = None) -> DataFrame:
-        """Scan ``[start, end)``. The bounds prune partitions and reach the Parquet reader."""
+    def read(
+        self,
+        tier: Tier,
+        start: Instant | None = None,
+        end: Instant | None = None,
+        machines: Sequence[str] | None = None,
+        versions: bool = False,
+    ) -> DataFrame:
+        """Scan ``[start, end)``. The bounds prune partitions and reach the Parquet reader.
+
+        So do ``machines``; files hold bloom filters of them, which skip row groups without any.
+        """
         rows = time_range(self._scan(tier), start, end)
         if start is not None:
             rows = rows.filter(_not_before(tier, instant(start)))
         if end is not None:
             rows = rows.filter(_not_after(tier, instant(end)))
-        return rows.select(*tier.schema.names)
+        if machines is not None:
+            rows = rows.filter(F.col("machine_id").isin(*machines))
+        return rows.select(*(tier.stored if versions else tier.schema).names)
+
+    def read_buckets(self, tier: Tier, buckets: DataFrame) -> DataFrame:
+        """Rows that fall into ``buckets`` (time, tags) of the tier's consumer; only their partitions are listed for reading."""
+        index = _cell_index(_cell(tier))
+        cells = [row.cell for row in buckets.select(index).distinct().collect()]
+        keys = {"time": date_bin(tier.feeds, F.col("time")), **{t: default_tag(F.col(t)) for t in TAGS}}
+        rows = self._cells(tier, cells).select("*", *(k.alias(f"_bucket_{n}") for n, k in keys.items()))
+        wanted = buckets.select(*(F.col(n).alias(f"_bucket_{n}") for n in keys)).distinct()
+        return rows.join(wanted, [f"_bucket_{n}" for n in keys], "left_semi").select(*tier.schema.names)
 
     def write(self, tier: Tier, rows: DataFrame) -> None:
         """Replace the partitions ``rows`` fall into."""
@@ -104,30 +131,80 @@ class TierTables:
         partitions go, so rows that cannot be computed again outlive a crash.
         """
         self.recover(tier)
-        updates = updates.select(*tier.schema.names)
-        self._swap(tier, merge_last(self._between(tier, *window), updates, KEY))
+        self._swap(tier, merge_last(self._between(tier, *window), _as_stored(tier, updates), KEY))
 
-    def upsert(self, tier: Tier, updates: DataFrame, order_by: str | None = None) -> None:
+    def upsert(
+        self, tier: Tier, updates: DataFrame, order_by: str | Sequence[str] | None = None, batch: str | None = None
+    ) -> None:
         """Write ``updates`` by key, last write wins, and rewrite only what changes.
 
         For steady work. Rows with new keys are appended, rows already there as they are need
         nothing, and only partitions where a row changes are rewritten. Repeating it is safe, also
         after a run that stopped half way through its appends. ``order_by`` names the arrival
-        column where one key may come several times.
+        columns where one key may come several times.
+
+        Where the tier keeps versions and the updates carry them, a row goes in only if it is later
+        than the stored one, so the same batches in any order leave the same table. A row without
+        version always goes in, and is the oldest to later ones.
+
+        ``batch`` names the call in the tier's change log, which tells what buckets it touched.
         """
         if order_by:
             updates = dedupe_last(updates, KEY, order_by)
+        elif versioned := [c for c in tier.version.names if c in updates.columns]:
+            updates = dedupe_last(updates, KEY, versioned)
         else:  # copies would be stored twice; without an arrival time the greatest row stands for them
             values = [c for c in tier.schema.names if c not in KEY]
             updates = updates.groupBy(*KEY).agg(F.max(F.struct(*values)).alias("_row")).select(*KEY, "_row.*")
         self.recover(tier)
         folder = shared_dir(self.spark, f"upsert-{tier.name}")
         try:
-            updates.filter(F.col("time").isNotNull()).select(*tier.schema.names).write.parquet(f"{folder}/rows")
-            self._apply(tier, self.spark.read.schema(tier.schema).parquet(f"{folder}/rows"), f"{folder}/labelled")
+            _as_stored(tier, updates.filter(F.col("time").isNotNull())).write.parquet(f"{folder}/rows")
+            rows = self.spark.read.schema(tier.stored).parquet(f"{folder}/rows")
+            name = batch and self.log_changes(tier, rows, batch)
+            self._apply(tier, rows, f"{folder}/labelled")
+            if name:
+                self.publish_changes(tier, name)
         finally:
             self._fs_delete(folder)
 
+    def log_changes(self, tier: Tier, rows: DataFrame, batch: str) -> str | None:
+        """Note the buckets of the tier's consumer that ``rows`` touch, before the rows go in.
+
+        A batch that runs again replaces its note. What a crash leaves behind is published by the
+        next batch: its rows may be in, and making a bucket again does no harm.
+        """
+        if tier.feeds is None:
+            return None
+        for left in self._fs_list(f"{self._changes(tier)}/pending"):
+            if left != batch:
+                self.publish_changes(tier, left)
+        tags = (default_tag(F.col(t)).alias(t) for t in TAGS)
+        buckets = rows.select(date_bin(tier.feeds, F.col("time")).alias("time"), *tags).distinct()
+        buckets.write.mode("overwrite").parquet(f"{self._changes(tier)}/pending/{batch}")
+        return batch
+
+    def publish_changes(self, tier: Tier, batch: str) -> None:
+        """Show a note to the consumer, once the rows are in. Notes of one batch add up until they are read."""
+        self._fs_mkdirs(f"{self._changes(tier)}/ready")
+        self._fs_rename(f"{self._changes(tier)}/pending/{batch}", f"{self._changes(tier)}/ready/{uuid.uuid4().hex}")
+
+    def read_changes(self, tier: Tier) -> tuple[list[str], DataFrame]:
+        """The names of published notes and the buckets (time, tags) in them."""
+        names = self._fs_list(f"{self._changes(tier)}/ready")
+        fields = StructType([f for f in tier.schema.fields if f.name in KEY])
+        if not names:
+            return [], self.spark.createDataFrame([], fields)
+        return names, self.spark.read.schema(fields).parquet(*(f"{self._changes(tier)}/ready/{n}" for n in names))
+
+    def drop_changes(self, tier: Tier, names: Sequence[str]) -> None:
+        """Forget notes that are dealt with."""
+        for name in names:
+            self._fs_delete(f"{self._changes(tier)}/ready/{name}")
+
+    def _changes(self, tier: Tier) -> str:
+        return f"{self.root.rstrip('/')}/changes/{tier.name}"
+
     def compact(self, tier: Tier, start: datetime, end: datetime) -> None:
         """Rewrite the partitions of a closed range, so that appends leave few files."""
         self.recover(tier)
@@ -138,7 +215,7 @@ class TierTables:
         for name in self._fs_list(self._pending(tier)):
             folder = f"{self._pending(tier)}/{name}"
             if self._fs_exists(f"{folder}/_SUCCESS"):
-                self.write(tier, self.spark.read.schema(tier.schema).parquet(folder))
+                self.write(tier, self.spark.read.schema(tier.stored).parquet(folder))
             self._fs_delete(folder)
 
     def apply_retention(self, tier: Tier, days: int, now: datetime | str) -> bool:
@@ -185,14 +262,15 @@ class TierTables:
         first, last = min(row["first"] for row in touched), max(row["last"] for row in touched)
         near = self._cells(tier, [row.cell for row in touched])
         near = near.filter(F.col("time").between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last))))
-        _labelled(updates, near).write.parquet(folder)
-        labelled = self.spark.read.schema(_with_fields(tier.schema, _LABELS)).parquet(folder)
+        _labelled(tier, updates, near).write.parquet(folder)
+        labelled = self.spark.read.schema(_with_fields(tier.stored, _LABELS)).parquet(folder)
 
         rewritten = [row.cell for row in labelled.filter("is_changed").select(index).distinct().collect()]
         if len(rewritten) < len(touched):
             self._save(tier, labelled.filter(F.col("is_new") & ~index.isin(rewritten)), "append")
         if rewritten:
-            self._swap(tier, merge_last(self._cells(tier, rewritten), updates.filter(index.isin(rewritten)), KEY))
+            going_in = labelled.filter((F.col("is_new") | F.col("is_changed")) & index.isin(rewritten)).drop(*_LABELS)
+            self._swap(tier, merge_last(self._cells(tier, rewritten), going_in, KEY))
 
     def _swap(self, tier: Tier, rows: DataFrame) -> None:
         """Replace partitions with rows derived from them.
@@ -200,7 +278,7 @@ class TierTables:
         Replacing takes a delete and a rename. The new content is written aside first, so that a
         crash between the two loses nothing.
         """
-        rows.select(*tier.schema.names).write.parquet(f"{self._pending(tier)}/{uuid.uuid4().hex}")
+        _as_stored(tier, rows).write.parquet(f"{self._pending(tier)}/{uuid.uuid4().hex}")
         self.recover(tier)
 
     def _pending(self, tier: Tier) -> str:
@@ -210,18 +288,19 @@ class TierTables:
         """The rebalance hint lets adaptive execution cut a large partition into several files and
         gather small ones, so one busy hour is not written by one task.
         """
-        placed = rows.select(*tier.schema.names, *_partition_columns(tier))
+        placed = _as_stored(tier, rows).select("*", *_partition_columns(tier))
         (
             placed.hint("rebalance", *(F.col(p) for p in tier.partitions))
             .sortWithinPartitions(*tier.partitions, "machine_id", "time")
             .write.mode(mode)
+            .options(**BLOOM)
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*tier.partitions)
             .parquet(self.path(tier))
         )
 
     def _scan(self, tier: Tier) -> DataFrame:
-        schema = _with_fields(tier.schema, {name: _PARTITION_TYPES[name] for name in tier.partitions})
+        schema = _with_fields(tier.stored, {name: _PARTITION_TYPES[name] for name in tier.partitions})
         self._fs_mkdirs(self.path(tier))
         return self.spark.read.schema(schema).parquet(self.path(tier))
 
@@ -230,13 +309,13 @@ class TierTables:
         number = F.unix_date("date").cast("bigint")
         if "hour_of_day" in tier.partitions:
             number = number * F.lit(DAY // HOUR) + F.col("hour_of_day")
-        return self._scan(tier).filter(number.isin(cells)).select(*tier.schema.names)
+        return self._scan(tier).filter(number.isin(cells)).select(*tier.stored.names)
 
     def _between(self, tier: Tier, start: datetime, end: datetime) -> DataFrame:
         """All rows of the partitions that ``[start, end)`` touches."""
         edge = instant(floor_to(_cell(tier), start))
         wanted = _not_before(tier, edge) & _not_after(tier, instant(end))
-        return self._scan(tier).filter(wanted).select(*tier.schema.names)
+        return self._scan(tier).filter(wanted).select(*tier.stored.names)
 
     def _drop_before(self, tier: Tier, edge: datetime) -> None:
         day = edge.date().isoformat()
@@ -253,7 +332,7 @@ class TierTables:
 
     def _trim(self, tier: Tier, edge: datetime, cutoff: datetime) -> None:
         cell_end = edge + _cell(tier)
-        cell = self.read(tier, edge, cell_end)
+        cell = self.read(tier, edge, cell_end, versions=True)
         if cell.filter(F.col("time") < instant(cutoff)).isEmpty():
             return
         kept = retain(cell, cutoff)
@@ -263,30 +342,10 @@ class TierTables:
         else:
             self._swap(tier, kept)
 
-    def _fs(self, path: str):
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
-
-    def _fs_mkdirs(self, path: str) -> None:
-        fs, p = self._fs(path)
-        fs.mkdirs(p)
-
-    def _fs_delete(self, path: str) -> None:
-        fs, p = self._fs(path)
-        fs.delete(p, True)
-
-    def _fs_exists(self, path: str) -> bool:
-        fs, p = self._fs(path)
-        return fs.exists(p)
-
-    def _fs_list(self, path: str) -> list[str]:
-        fs, p = self._fs(path)
-        return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
-
 
 def _cell_index(cell: timedelta) -> Column:
     """Number of the partition a row belongs to, counted from 1970."""
-    return F.floor(F.unix_micros("time") / F.lit(micros(cell))).alias("cell")
+    return floor_div(F.unix_micros("time"), micros(cell)).alias("cell")
 
 
 def _folders(tier: Tier, window: Window) -> Iterator[str]:
@@ -330,15 +389,27 @@ def _not_after(tier: Tier, end: Column) -> Column:
     return (F.col("date") < day) | ((F.col("date") == day) & (F.col("hour_of_day") <= utc_hour(last)))
 
 
-def _labelled(updates: DataFrame, old: DataFrame) -> DataFrame:
-    """``updates`` with whether ``old`` lacks their key, and whether it has other values for it.
+def _as_stored(tier: Tier, rows: DataFrame) -> DataFrame:
+    """The tier's columns; version columns that the rows lack are null."""
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in tier.version.fields if f.name not in rows.columns]
+    return rows.select("*", *absent).select(*tier.stored.names)
+
+
+def _labelled(tier: Tier, updates: DataFrame, old: DataFrame) -> DataFrame:
+    """``updates`` with whether ``old`` lacks their key, and whether they replace its row.
 
-    A null tag equals a null tag.
+    A null tag equals a null tag. A versioned row replaces an earlier one; of one version, the
+    greater values stay, whichever came first.
     """
-    values = [c for c in updates.columns if c not in KEY]
-    old = old.select(*(F.col(k).alias(f"_key_{k}") for k in KEY), F.struct(*values).alias("_old"))
+    values = [c for c in tier.schema.names if c not in KEY]
+    version = list(tier.version.names)
+    old = old.select(*(F.col(k).alias(f"_key_{k}") for k in KEY), F.struct(*version, *values).alias("_old"))
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in KEY))
-    is_new = F.col("_old").isNull()
-    is_changed = ~is_new & ~F.col("_old").eqNullSafe(F.struct(*values))
+    is_new, now = F.col("_old").isNull(), F.struct(*version, *values)
+    is_changed = ~now.eqNullSafe(F.col("_old"))
+    if version:
+        known = reduce(or_, (F.col(c).isNotNull() for c in version))
+        was = F.struct(*(F.col(f"_old.{c}").alias(c) for c in values))
+        is_changed = F.when(known, now > F.col("_old")).otherwise(~F.struct(*values).eqNullSafe(was))
     joined = updates.join(old, same, "left")
-    return joined.select(*updates.columns, is_new.alias("is_new"), is_changed.alias("is_changed"))
+    return joined.select(*updates.columns, is_new.alias("is_new"), (~is_new & is_changed).alias("is_changed"))

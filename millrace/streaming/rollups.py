@@ -8,18 +8,27 @@ past good data: give ``ingest_stream`` a ``max_future_skew`` to keep such readin
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-from millrace.operators.rollup import finish_rollup, hour_measures, minute_measures, tag_columns
+from millrace.functions.clock import micros
+from millrace.operators.rollup import behind, finish_rollup, hour_measures, minute_measures, tag_columns
 from millrace.plans.jobs import ingest_batch
-from millrace.schemas import HOUR, MINUTE, MINUTE_TIER, TAGS, Tier
+from millrace.schemas import HOUR, MINUTE, MINUTE_TIER, RAW_SCHEMA, TAGS, Tier
+from millrace.sources.folders import Folders
 from millrace.sources.tiers import TierTables
 
 
+_LATE_SCHEMA = StructType([
+    *RAW_SCHEMA.fields, StructField("received_at", TimestampType()), StructField("stream", StringType()), StructField("batch", LongType()),
+])
+
+
 def seconds(span: timedelta) -> str:
     return f"{int(span.total_seconds())} seconds"
 
@@ -66,6 +75,37 @@ def start_rollup(
     return _start(rollup.drop("window"), upsert, checkpoint, mode, every)
 
 
+@dataclass(frozen=True)
+class LateSink(Folders):
+    """Where a stream's late readings go, batch by batch; they stay in the raw tier as well.
+
+    A reading is late if its bucket was closed by what earlier batches held: the latest reading time among them,
+    less ``lateness``. That edge is kept below the folder with the number of the batch it was taken from, so a
+    batch that runs again finds the edge it had, and replaces its rows.
+    """
+
+    path: str
+    lateness: timedelta = MINUTE
+    width: timedelta = MINUTE
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(_LATE_SCHEMA).parquet(f"{self.path}/rows")
+
+    def take(self, batch: DataFrame, stream: str, number: int) -> None:
+        """Sink the late readings of a stream's batch, and move the edge."""
+        edges = f"{self.path}/edges/{stream}"
+        known = {int(n.split("-")[0]): int(n.split("-")[1]) for n in self._fs_list(edges)}
+        edge = max((e for n, e in known.items() if n < number), default=0)
+        late = behind(batch, F.timestamp_micros(F.lit(edge)), self.width)
+        late.select(*RAW_SCHEMA.names, "received_at").write.mode("overwrite").parquet(f"{self.path}/rows/stream={stream}/batch={number}")
+        newest = batch.agg(F.max(F.unix_micros("time"))).first()[0]
+        after = max(edge, (newest or 0) - micros(self.lateness))
+        self._fs_mkdirs(f"{edges}/{number}-{after}")
+        for n, e in known.items():
+            if n < number - 1:
+                self._fs_delete(f"{edges}/{n}-{e}")
+
+
 def ingest_stream(
     messages: DataFrame,
     tables: TierTables,
@@ -73,6 +113,8 @@ def ingest_stream(
     checkpoint: str,
     every: timedelta | None = None,
     max_future_skew: timedelta | None = None,
+    repairable: bool = False,
+    late: LateSink | None = None,
 ) -> StreamingQuery:
     """Clean messages into the raw tier as they arrive. A repeated batch changes nothing.
 
@@ -82,7 +124,8 @@ def ingest_stream(
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(tables, batch, quarantine, f"{stream}-{batch_id}", max_future_skew)
+        also = late and (lambda good: late.take(good, stream, batch_id))
+        ingest_batch(tables, batch, quarantine, f"{stream}-{batch_id}", max_future_skew, repairable, also)
 
     return _start(messages, ingest, checkpoint, "append", every)
 

@@ -33,3 +33,24 @@ def connected(edges: DataFrame) -> DataFrame:
 def fingerprint(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return row[0], row[1]
+
+
+def components_of(sets: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``doc_id, n, rep, component`` of every row of ``sets`` (doc_id, n, sig).
+
+    ``classes`` (id, sig, doc_id) has one row for each set that occurs, ``links`` (u, v) joins their ids.
+    ``rep`` is the least doc_id with the set, ``component`` the least that links reach; both are null
+    where doc_id is. Sets of one doc_id belong together. A row without set is its own component.
+    """
+    named = classes.select("sig", "id", F.col("doc_id").alias("rep"))
+    rows = kept(sets.select("doc_id", "n", "sig").join(named, "sig", "left").drop("sig"), "rows")
+    held = rows.where("id IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("id").alias("u"), F.max("id").alias("w"))
+    same = rows.join(held.where("u <> w"), "doc_id").where("id IS NOT NULL").select("u", F.col("id").alias("v"))
+    roots = connected(links.unionByName(same)).withColumnRenamed("node", "id")
+    tagged = classes.select("id", "doc_id").join(roots, "id")
+    tops = tagged.join(tagged.groupBy("root").agg(F.min("doc_id").alias("top")), "root").select("id", "top")
+    known = F.col("doc_id").isNotNull()
+    return rows.join(tops, "id", "left").select(
+        "doc_id", "n", F.when(known, F.coalesce("rep", "doc_id")).alias("rep"),
+        F.when(known, F.coalesce("top", "rep", "doc_id")).alias("component"),
+    )

@@ -13,9 +13,10 @@ one shingle). Its sketch is the ``SKETCH`` least hashes. Sets link when
    any ``SKETCH - least + 1`` of them, in an order that all follow, hold a common one. Long lists are
    divided by the size of the sets.
 3. The classes of a list form a group under the list's least class. Within a task, lists of retained values
-   count overlaps, the lowest part of the united sketches estimates the similarity, and what may reach the
-   threshold (again up to ``CHANCE``) is confirmed on the full sets. Groups are compared from one member
-   to the others, and a member that links join already is not compared with its own.
+   count overlaps, and the lowest part of the united sketches estimates the similarity. First only sketches are
+   sent to the groups; classes that reach the threshold with no other (again up to ``CHANCE``) go. The texts
+   of those that stay follow, and links are confirmed on the full sets. Groups are compared from one
+   member to the others, and a member that links join already is not compared with its own.
 4. A group with more than ``BLOCK`` shingles is cut into parts. First each meets the least class only;
    then classes that do not link to it meet all parts, two parts a task. Nothing is left out, no
    task holds more than two parts, and large groups of near copies cost in proportion to their size.
@@ -29,21 +30,24 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import columns_of, kept, raw_bytes, shingle_hashes
-from millrace.llm.components import connected
+from millrace.llm.common import columns_of, fill_batches, kept, raw_bytes, shingle_hashes
+from millrace.llm.components import components_of
 
 WORDS, PERCENT = 5, 85
 SKETCH, LISTED = 64, 12
 CHANCE = 1e-9
 #: Members of a list that is not long.
 CROWD = 100
+#: Tasks among which the members of a long list are dealt.
+SALTS = 32
 #: Shingles in one part of a group.
 BLOCK = 1 << 20
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -111,20 +115,9 @@ def components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> D
     classes = kept(classes.select(F.monotonically_increasing_id().alias("id"), "sig", "x.*"), "classes")
     members = kept(listed_together(classes, plan), "members")
     links = linked(docs, classes, members, plan, words)
-
-    rows = kept(sets.select("doc_id", "n", "sig").join(classes.select("sig", "id", F.col("doc_id").alias("rep")), "sig", "left").drop("sig"), "rows")
-    # Rows of one doc_id may have several sets: tie these together too.
-    held = rows.where("id IS NOT NULL").groupBy("doc_id").agg(F.min("id").alias("u"), F.max("id").alias("w"))
-    same = rows.join(held.where("u <> w"), "doc_id").where("id IS NOT NULL").select("u", F.col("id").alias("v"))
-    roots = connected(links.unionByName(same)).withColumnRenamed("node", "id")
-    tagged = classes.select("id", "doc_id").join(roots, "id")
-    named = tagged.join(tagged.groupBy("root").agg(F.min("doc_id").alias("top")), "root").select("id", "top")
-    component = F.coalesce("top", "rep", "doc_id")
-    return rows.join(named, "id", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("class_id"),
-        F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+    return components_of(sets, classes, links).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"), F.col("component").alias("component_id"),
+        F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"),
     )
 
 
@@ -144,22 +137,27 @@ def listed_together(classes: DataFrame, plan: Plan) -> DataFrame:
     )
     chosen = rated.select("id", "n", F.explode(F.slice("v", 1, plan.listed_again(n))).alias("v")).where("v.size > 1")
     by_band = F.array(F.xxhash64("v.value", plan.band(n)), F.xxhash64("v.value", plan.band(n) + 1))
-    keyed = kept(chosen.select("id", F.explode(F.when(F.col("v.crowd"), by_band).otherwise(F.array("v.value"))).alias("key")), "listed-again")
-    lists = keyed.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("other")).where("pivot <> other")
-    return short.unionByName(keyed.join(lists, "key").select("pivot", "id")).distinct()
+    keys = F.explode(F.when(F.col("v.crowd"), by_band).otherwise(F.array("v.value"))).alias("key")
+    keyed = kept(chosen.select("id", F.col("v.crowd").alias("crowd"), keys), "listed-again")
+    lists = keyed.groupBy("key", "crowd").agg(F.min("id").alias("pivot"), F.max("id").alias("other")).where("pivot <> other")
+    # Members of one long list meet its pivot in several tasks.
+    salts = F.when(F.col("crowd"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    lists = lists.select("key", "crowd", "pivot", F.explode(salts).alias("salt"))
+    salt = F.when(F.col("crowd"), F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(0).cast("int")
+    again = keyed.withColumn("salt", salt).join(lists, ["key", "crowd", "salt"]).select("pivot", "id")
+    return short.unionByName(again).distinct()
 
 
 def linked(docs: DataFrame, classes: DataFrame, members: DataFrame, plan: Plan, words: int) -> DataFrame:
     """Links (u, v) that join what links join within each group."""
-    known = classes.select("id", "n", "sig", "doc_id")
-    sized = kept(members.join(known, "id"), "sized")
+    sized = kept(members.join(classes.select("id", "n"), "id"), "sized")
     groups = sized.groupBy("pivot").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("parts"))
     groups = kept(groups, "groups")
     sized = sized.join(groups, "pivot")
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     everywhere = F.when(F.col("id") == F.col("pivot"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(own))
     placed = sized.select("*", F.explode(everywhere).alias("i")).withColumns({"j": F.col("i"), "own": F.col("i")})
-    links = kept(compared(docs, placed, plan, words), "links")
+    links = kept(compared(docs, classes, placed, plan, words), "links")
     if groups.where("parts > 1").isEmpty():
         return links
 
@@ -176,35 +174,57 @@ def linked(docs: DataFrame, classes: DataFrame, members: DataFrame, plan: Plan,
     )
     last = F.when(F.col("tied"), F.col("free")).otherwise(F.col("free") + F.col("bound")) - 1
     pairs = rest.select("*", F.explode(F.sequence(F.lit(0), last)).alias("with"))
-    pairs = pairs.select("pivot", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", F.lit(1).alias("parts"), "id", "sig", "doc_id")
-    return links.unionByName(kept(compared(docs, pairs, plan, words), "links"))
+    pairs = pairs.select("pivot", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", F.lit(1).alias("parts"), "id")
+    return links.unionByName(kept(compared(docs, classes, pairs, plan, words), "links"))
 
 
-def compared(docs: DataFrame, placed: DataFrame, plan: Plan, words: int) -> DataFrame:
-    rows = placed.join(docs, "doc_id").repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "id")
-    return rows.select("pivot", "i", "j", "own", "parts", "id", "sig", "t").mapInArrow(
-        lambda batches: compare(batches, plan, words), "u long, v long"
-    )
+def compared(docs: DataFrame, classes: DataFrame, placed: DataFrame, plan: Plan, words: int) -> DataFrame:
+    """Links within each cell (pivot, i, j) of groups: by sketches who may link at all, then by texts who does."""
+    cell = ["pivot", "i", "j"]
+    low = placed.select(*cell, "own", "parts", "id").join(classes.select("id", "n", "sketch"), "id")
+    low = low.repartition(*cell).sortWithinPartitions(*cell, "id").select(*cell, "own", "parts", "id", "n", "sketch")
+    stay = kept(low.mapInArrow(lambda batches: thin(batches, plan), "pivot long, i int, j int, own int, parts int, id long"), "stay")
+    rows = stay.join(classes.select("id", "sig", "doc_id"), "id").join(docs, "doc_id")
+    rows = rows.repartition(*cell).sortWithinPartitions(*cell, "id").select(*cell, "own", "parts", "id", "sig", "t")
+    return rows.mapInArrow(lambda batches: compare(batches, plan, words), "u long, v long")
 
 
 LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+STAY = pa.schema([("pivot", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("own", pa.int32()), ("parts", pa.int32()), ("id", pa.int64())])
+
+
+def by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int, int], int, Iterator[tuple]]]:
+    """(pivot, i, j), how many parts the group has, and the cell's rows from ``own`` on."""
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+    for (*cell, parts), group in groupby(rows, key=lambda r: (*r[:3], r[4])):
+        yield tuple(cell), parts, ((r[3], *r[5:]) for r in group)
+
+
+def thin(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
+    def rows():
+        for cell, parts, members in by_cell(batches):
+            group = Group(plan, cell[0] if parts > 1 else None)
+            for own, id_, n, sketch in members:
+                group.add(id_, n, np.array(sketch, np.int64).view(np.uint64), own == cell[1], own == cell[2])
+            for k in group.may_link():
+                left, _ = group.sides[k]
+                yield *cell, cell[1] if left else cell[2], parts, group.ids[k]
+
+    return fill_batches(STAY, rows())
 
 
 def compare(batches: Iterator[pa.RecordBatch], plan: Plan, words: int) -> Iterator[pa.RecordBatch]:
-    key, group = None, None
-    for batch in batches:
-        out: list[tuple[int, int]] = []
-        for pivot, i, j, own, parts, id_, sig, text in zip(*(c.to_pylist() for c in batch.columns)):
-            if (pivot, i, j) != key:
-                out.extend(group.links() if group else ())
-                key, group = (pivot, i, j), Group(plan, pivot if parts > 1 else None)
-            elements = set_of(text, words)
-            if sign(elements) == sig:  # not another text of the same doc_id
-                group.add(id_, elements, own == i, own == j)
-        if out:
-            yield pa.RecordBatch.from_pylist([dict(zip(LINKS.names, x)) for x in out], schema=LINKS)
-    if group and (out := group.links()):
-        yield pa.RecordBatch.from_pylist([dict(zip(LINKS.names, x)) for x in out], schema=LINKS)
+    def rows():
+        for cell, parts, members in by_cell(batches):
+            group, sets = Group(plan, cell[0] if parts > 1 else None), {}
+            for own, id_, sig, text in members:
+                elements = set_of(text, words)
+                if sign(elements) == sig:  # not another text of the same doc_id
+                    group.add(id_, len(elements), elements[:SKETCH], own == cell[1], own == cell[2])
+                    sets[id_] = elements
+            yield from group.links(sets)
+
+    return fill_batches(LINKS, rows())
 
 
 class Group:
@@ -213,32 +233,52 @@ class Group:
     def __init__(self, plan: Plan, star: int | None = None):
         self.plan, self.star = plan, star
         self.ids: list[int] = []
-        self.sets: list[np.ndarray] = []
+        self.sizes: list[int] = []
+        self.low: list[np.ndarray] = []
         self.sides: list[tuple[bool, bool]] = []
 
-    def add(self, id_: int, elements: np.ndarray, left: bool, right: bool) -> None:
+    def add(self, id_: int, size: int, low: np.ndarray, left: bool, right: bool) -> None:
         if not self.ids or self.ids[-1] != id_:  # rows may repeat
             self.ids.append(id_)
-            self.sets.append(elements)
+            self.sizes.append(size)
+            self.low.append(low)
             self.sides.append((left, right))
 
-    def links(self) -> list[tuple[int, int]]:
+    def may_link(self) -> list[int]:
+        """Numbers of the classes that may link with another one here."""
+        found = np.zeros(len(self.ids), bool)
+        for x, near in self.meetings(lambda x: ~found | ~found[x]):
+            found[near] = True
+            found[x] |= bool(len(near))
+        return np.flatnonzero(found).tolist()
+
+    def links(self, sets: dict[int, np.ndarray]) -> list[tuple[int, int]]:
         """Links that join what links join here."""
+        root, out = np.arange(len(self.ids)), []
+        for x, near in self.meetings(lambda x: root != root[x]):
+            for y in near.tolist():
+                if root[y] != root[x]:
+                    shared = np.intersect1d(sets[self.ids[x]], sets[self.ids[y]], assume_unique=True).size
+                    if 100 * shared >= self.plan.percent * (self.sizes[x] + self.sizes[y] - shared):
+                        out.append((self.ids[x], self.ids[y]))
+                        root[root == root[y]] = root[x]
+        return out
+
+    def meetings(self, wanted: Callable[[int], np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+        """Each class with the ``wanted`` ones after it that it may link with."""
         count = len(self.ids)
         if count < 2:
-            return []
-        sizes = np.array([len(s) for s in self.sets])
-        low = np.minimum(sizes, SKETCH)
-        starts = np.cumsum(low) - low
+            return
+        sizes, low = np.array(self.sizes), np.array([len(s) for s in self.low])
+        owner, starts = np.repeat(np.arange(count), low), np.cumsum(low) - low
         sketches = np.full((count, SKETCH), NONE)
-        sketches[np.repeat(np.arange(count), low), np.arange(int(low.sum())) - np.repeat(starts, low)] = np.concatenate([s[:SKETCH] for s in self.sets])
-        owner = np.repeat(np.arange(count), low)
-        _, value = np.unique(sketches[owner, np.arange(len(owner)) - np.repeat(starts, low)], return_inverse=True)
+        sketches[owner, np.arange(len(owner)) - np.repeat(starts, low)] = np.concatenate(self.low)
+        _, value = np.unique(np.concatenate(self.low), return_inverse=True)
         lists, bounds = owner[np.argsort(value, kind="stable")], np.r_[0, np.cumsum(np.bincount(value))]
         left, right = np.array(self.sides).T
-        root, out = np.arange(count), []
-        for x in [self.ids.index(self.star)] if self.star is not None else range(count):
-            open_ = (root != root[x]) & ((left[x] & right) | (right[x] & left))
+        for x in [self.ids.index(self.star)] if self.star in self.ids else range(count) if self.star is None else ():
+            open_ = wanted(x) & ((left[x] & right) | (right[x] & left))
+            open_[x] = False
             if self.star is None:
                 open_[:x] = False  # these have met x
             if not open_.any():
@@ -246,17 +286,10 @@ class Group:
             mine = value[starts[x] : starts[x] + low[x]]
             overlap = np.bincount(np.concatenate([lists[bounds[v] : bounds[v + 1]] for v in mine]), minlength=count)
             shorter, longer = np.minimum(sizes, sizes[x]), np.maximum(sizes, sizes[x])
-            open_ &= (overlap > 0) & (100 * shorter >= self.plan.percent * longer)
-            others = np.flatnonzero(open_)
-            for y in others[self.may_link(sketches, x, others)].tolist():
-                if root[y] != root[x]:
-                    shared = np.intersect1d(self.sets[x], self.sets[y], assume_unique=True).size
-                    if 100 * shared >= self.plan.percent * (sizes[x] + sizes[y] - shared):
-                        out.append((self.ids[x], self.ids[y]))
-                        root[root == root[y]] = root[x]
-        return out
+            others = np.flatnonzero(open_ & (overlap > 0) & (100 * shorter >= self.plan.percent * longer))
+            yield x, others[self.similar(sketches, x, others)]
 
-    def may_link(self, sketches: np.ndarray, x: int, others: np.ndarray) -> np.ndarray:
+    def similar(self, sketches: np.ndarray, x: int, others: np.ndarray) -> np.ndarray:
         """Whether the least values of the united sketches allow the similarity."""
         both = np.sort(np.concatenate([np.broadcast_to(sketches[x], (len(others), SKETCH)), sketches[others]], axis=1), axis=1)
         twice = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != NONE)

@@ -115,12 +115,15 @@ def test_group(star):
         sets += [set_of(" ".join(edited(rng, base, rng.randint(0, 3))).encode(), 5) for _ in range(8)]
     group = Group(Plan(), 17 if star else None)
     for k, s in enumerate(sets):
-        group.add(k, s, True, True)
-        group.add(k, s, True, True)
-    found = group.links()
+        for _ in range(2):
+            group.add(k, len(s), s[: sketch_join.SKETCH], True, True)
+    found = group.links(dict(enumerate(sets)))
     linked = {(a, b) for a, b in combinations(range(len(sets)), 2)
               if 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))}
     assert {tuple(sorted(x)) for x in found} <= linked
+    stay = set(group.may_link())
+    assert {k for x in (found if star else linked) for k in x} <= stay
+    assert len(stay) < len(sets)
     if star:
         assert {tuple(sorted(x)) for x in found} == {x for x in linked if 17 in x}
     else:

@@ -3,6 +3,11 @@
 A document's set holds the hashes of its distinct three-word shingles (A-Z lower-cased). Sets link
 when ``100 * |x & y| >= percent * |x | y|``. Equal sets are one class and go on as one.
 
+First, sets that can link with none go: most elements of a set that links are elements of others too. Of
+large sets the ``PROBE`` least elements are looked up; one that links has fewer of them elsewhere than
+asked for with a chance of ``CHANCE`` only. What is left is a small part of ordinary text, and only that
+part's texts are gathered and get keys.
+
 * Small sets enumerate two-element subsets: sets that link share at least two of the first
   ``s - ceil(t s) + 2`` elements in hash order, since they overlap in ``t s`` elements or more.
 * Large sets scan inverted lists. Linked sets, the larger of size band b, differ in at most
@@ -23,21 +28,24 @@ Empty tables give empty results; extra columns are ignored, and pass through ``o
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ODD, columns_of, kept, mixed, raw_bytes, shingle_hashes
-from millrace.llm.components import connected
+from millrace.llm.common import ODD, columns_of, fill_batches, kept, mixed, raw_bytes, shingle_hashes
+from millrace.llm.components import components_of
 
 WORDS = 3
 PERCENT = 90
 #: A band of sizes reaches from its first size to half as many more.
 GROWTH = 1.5
+#: Elements of a set that are looked up in others, and the chance to miss one that links.
+PROBE, CHANCE = 64, 1e-9
 #: Shingles in one block of a group.
 BLOCK = 1 << 20
 
@@ -50,6 +58,15 @@ class Plan:
         # One element more or less already breaks the threshold for smaller sets: only equal ones link.
         self.least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
         self.boundary = self._boundary()
+        #: Of the least ``PROBE`` elements of a union, so many at least are in both sets.
+        self.probed, share, chance = 0, percent / 100, 0.0
+        while (chance := chance + math.comb(PROBE, self.probed) * share**self.probed * (1 - share) ** (PROBE - self.probed)) <= CHANCE:
+            self.probed += 1
+
+    def elsewhere(self, n: Column) -> Column:
+        """So many of the probed elements of a set that links are probed elements of others."""
+        whole = F.ceil(n * self.percent / F.lit(100))
+        return F.when(n < PROBE * self.percent // 100, whole).otherwise(F.least(whole, F.lit(self.probed)))
 
     def overlap(self, size: int) -> int:
         """Elements that a set of this size shares at least with any set it links to."""
@@ -114,82 +131,94 @@ def components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> D
 
     ``class_id`` is the least doc_id with the same set, ``component_id`` the least reachable by links.
     """
+    plan = Plan(percent)
     docs = docs.select(F.col("doc_id").cast("long"), raw_bytes().alias("t"))
-    sets = kept(docs.mapInArrow(lambda b: signed(b, percent, words), "doc_id long, n long, sig binary, keys array<long>"), "sets")
-    classes = sets.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n")
-    )
-    classes = kept(classes, "classes")
-    firsts = sets.join(classes.select("sig", "rep"), "sig").where("doc_id = rep")
-    postings = kept(firsts.select("sig", "n", F.explode("keys").alias("key")), "postings")
-    heads = postings.groupBy("key").agg(F.min("sig").alias("pivot"), F.max("sig").alias("other")).where("pivot <> other")
-    members = kept(postings.join(heads.drop("other"), "key").select("pivot", "sig", "n").distinct(), "members")
-    links = kept(linked(docs, classes, members, percent, words), "links")
-
-    # Rows of one doc_id may have several sets: tie these together too.
-    many = sets.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("sig").alias("u"), F.max("sig").alias("w"))
-    same = sets.join(many.where("u <> w"), "doc_id").where("sig IS NOT NULL").select("u", F.col("sig").alias("v"))
-    roots = connected(links.unionByName(same))
-    tagged = classes.join(roots.withColumnRenamed("node", "sig"), "sig").select("sig", "root", "rep")
-    named = tagged.join(tagged.groupBy("root").agg(F.min("rep").alias("top")), "root").select("sig", "top")
-    labels = classes.join(named, "sig", "left").select("sig", "rep", F.coalesce("top", "rep").alias("top"))
-    return sets.join(labels, "sig", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("class_id"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("top", "doc_id")).alias("component_id"),
+    sets = kept(docs.mapInArrow(lambda b: signed(b, words), "doc_id long, n long, sig binary, low array<long>"), "sets")
+    first = F.min(F.struct("doc_id", "n", "low")).alias("x")
+    classes = sets.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig").agg(first)
+    classes = kept(classes.select(F.monotonically_increasing_id().alias("id"), "sig", "x.*"), "classes")
+    likely = kept(may_link(classes, plan), "likely")
+    texts = kept(docs.join(likely, "doc_id").select("id", "sig", "n", "t"), "texts")
+    keyed = kept(texts.mapInArrow(lambda b: keys_of(b, percent, words), "id long, keys array<long>"), "keys")
+    postings = keyed.select("id", F.explode("keys").alias("key"))
+    heads = postings.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("other")).where("pivot <> other")
+    members = kept(postings.join(heads.drop("other"), "key").select("pivot", "id").distinct(), "members")
+    links = kept(linked(texts, likely, members, percent, words), "links")
+    return components_of(sets, classes, links).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"), F.col("component").alias("component_id")
     )
 
 
-def signed(batches: Iterator[pa.RecordBatch], percent: int, words: int) -> Iterator[pa.RecordBatch]:
-    plan = Plan(percent)
+def may_link(classes: DataFrame, plan: Plan) -> DataFrame:
+    """``id, sig, n, doc_id`` of the classes whose probed elements are found in other classes often enough."""
+    probed = classes.select("id", F.explode("low").alias("value"))
+    shared = probed.groupBy("value").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("value")
+    found = probed.join(shared, "value").groupBy("id").agg(F.count("*").alias("found"))
+    return classes.join(found, "id").where(F.col("found") >= plan.elsewhere(F.col("n"))).select("id", "sig", "n", "doc_id")
+
+
+def signed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [set_of(t, words) for t in batch.column(1).to_pylist()]
-        keys = [plan.keys(s).view(np.int64) for s in sets]
-        ends = np.cumsum([0, *map(len, keys)])
-        flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([sign(s) for s in sets], pa.binary()),
-             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))],
-            names=["doc_id", "n", "sig", "keys"],
+             long_lists([s[:PROBE] for s in sets])],
+            names=["doc_id", "n", "sig", "low"],
         )
 
 
-def linked(docs: DataFrame, classes: DataFrame, members: DataFrame, percent: int, words: int) -> DataFrame:
+def keys_of(batches: Iterator[pa.RecordBatch], percent: int, words: int) -> Iterator[pa.RecordBatch]:
+    plan = Plan(percent)
+    for batch in batches:
+        ids, keys = [], []
+        for id_, sig, text in zip(*(batch.column(c).to_pylist() for c in ("id", "sig", "t"))):
+            elements = set_of(text, words)
+            if sign(elements) == sig:  # not another text of the same doc_id
+                ids.append(id_)
+                keys.append(plan.keys(elements))
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), long_lists(keys)], names=["id", "keys"])
+
+
+def long_lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)])
+    flat = np.concatenate([*(a.view(np.int64) for a in arrays), np.empty(0, np.int64)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
+
+
+def linked(texts: DataFrame, likely: DataFrame, members: DataFrame, percent: int, words: int) -> DataFrame:
     """Links (u, v) within each group, as a spanning forest of every pair of blocks."""
+    members = members.join(likely.select("id", "n"), "id")
     blocks = members.groupBy("pivot").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("n_blocks"))
-    placed = members.join(blocks, "pivot").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("n_blocks")).cast("int"))
+    placed = members.join(blocks, "pivot").withColumn("own", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
     placed = placed.select(
-        "sig", "pivot", "own", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("with")
-    ).select("sig", "pivot", "own", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
-    wanted = members.select("sig").distinct().join(classes, "sig").select("sig", F.col("rep").alias("doc_id"))
-    texts = docs.join(wanted, "doc_id").select("sig", "t")
-    dealt = placed.join(texts, "sig").repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "sig")
-    return dealt.select("pivot", "i", "j", "own", "sig", "t").mapInArrow(
-        lambda batches: compare(batches, percent, words), "u binary, v binary"
+        "id", "pivot", "own", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("with")
+    ).select("id", "pivot", "own", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
+    dealt = placed.join(texts, "id").repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j", "id")
+    return dealt.select("pivot", "i", "j", "own", "id", "sig", "t").mapInArrow(
+        lambda batches: compare(batches, percent, words), "u long, v long"
     )
 
 
-LINKS = pa.schema([("u", pa.binary()), ("v", pa.binary())])
+LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
 def compare(batches: Iterator[pa.RecordBatch], percent: int, words: int) -> Iterator[pa.RecordBatch]:
-    group, held = None, []
-    for batch in batches:
-        out: list[tuple[bytes, bytes]] = []
-        for pivot, i, j, own, sig, text in zip(*(c.to_pylist() for c in batch.columns)):
-            if (pivot, i, j) != group:
-                out.extend(forest(held, percent))
-                group, held = (pivot, i, j), []
-            elements = set_of(text, words)
-            if sign(elements) == sig:  # not another text of the same doc_id
-                held.append((len(elements), sig, i == j or own == i, i == j or own == j, elements))
-        if out:
-            yield pa.RecordBatch.from_pylist([{"u": u, "v": v} for u, v in out], schema=LINKS)
-    if out := forest(held, percent):
-        yield pa.RecordBatch.from_pylist([{"u": u, "v": v} for u, v in out], schema=LINKS)
-
-
-def forest(held: list[tuple], percent: int) -> list[tuple[bytes, bytes]]:
+    def rows():
+        group, held = None, []
+        for batch in batches:
+            for pivot, i, j, own, id_, sig, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (pivot, i, j) != group:
+                    yield from forest(held, percent)
+                    group, held = (pivot, i, j), []
+                elements = set_of(text, words)
+                if sign(elements) == sig and not (held and held[-1][1] == id_):  # not another text of the doc_id, nor a copy
+                    held.append((len(elements), id_, i == j or own == i, i == j or own == j, elements))
+        yield from forest(held, percent)
+
+    return fill_batches(LINKS, rows())
+
+
+def forest(held: list[tuple], percent: int) -> list[tuple[int, int]]:
     """Links that join what links join in one group; pairs already joined through others are skipped."""
     if len(held) < 2:
         return []

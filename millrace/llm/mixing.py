@@ -44,14 +44,13 @@ class Targets:
 def n_words(text: str = "text") -> Column:
     """Runs of other characters than white space: each becomes one letter, and the letters are counted."""
     marked = F.regexp_replace(F.col(text), r"[^\x20\x09-\x0D]+", "x")
-    return F.coalesce(F.length(F.translate(marked, " \t\n\x0b\x0c\r", "")), F.lit(0)).cast("long")
+    return F.coalesce(F.length(marked) - F.length(F.replace(marked, F.lit("x"), F.lit(""))), F.lit(0)).cast("long")
 
 
 def topic_of(text: str = "text") -> Column:
     """A coarse topic by form, for tables without a ``topic`` column: marked-up, shouted or plain prose."""
     size = F.greatest(F.length(text), F.lit(1))
-    marks = F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))
-    loud = F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
+    marks, loud = (F.regexp_count(F.col(text), F.lit(p)) for p in ("[#*$%&|<>]", "[A-Z]"))
     return F.when(marks * 50 > size, "marked").when(loud * 4 > size, "loud").otherwise("plain")
 
 

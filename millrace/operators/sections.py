@@ -29,7 +29,9 @@ def hour_labels(hourly: DataFrame) -> DataFrame:
 def line_chart_section(hourly: DataFrame) -> DataFrame:
     """Per machine its values in label order, 0 where an hour is missing.
 
-    ``hourly`` holds one row per hour of one day and machine, so a machine gathers 24 at most.
+    ``hourly`` holds one row per hour of one day and machine, so a machine gathers 24 at most. The labels are
+    read off the same rows per machine; both uses need the same columns of them, so the exchange
+    that makes them is run once and reused.
     """
     label = hour_label(F.col("hour_bucket"))
     value = zero_fill(half_up(F.col("energy_kwh"), 3))
@@ -37,7 +39,9 @@ def line_chart_section(hourly: DataFrame) -> DataFrame:
         F.min("hour_bucket").alias("first_hour"),
         F.map_from_entries(F.collect_list(F.struct(label, value))).alias("by_label"),
     )
-    labels = hour_labels(hourly).scalar()
+    per_machine = per_machine.filter(F.col("first_hour").isNotNull())
+    seen = per_machine.select(F.explode(F.map_keys("by_label")).alias("label"))
+    labels = seen.agg(F.sort_array(F.collect_set("label"))).scalar()
     data = F.transform(F.col("labels"), lambda h: F.coalesce(F.col("by_label")[h], F.lit(0.0)))
     return (
         per_machine.withColumn("labels", labels)

@@ -291,3 +291,17 @@ def test_readers_see_the_old_or_the_new_dashboard(spark, tmp_path):
         board.publish(document(f"later {n}"))
     assert [r[0] for r in board.read().collect()] == ["later 2"] * 2
     assert len(board._fs_list(f"{board.path}/versions")) == len(board._fs_list(f"{board.path}/current")) == 2
+
+
+def test_line_chart_reads_its_source_once(spark, raw_rows, tmp_path):
+    from millrace.operators.reports import hourly_energy
+    from millrace.operators.sections import line_chart_section
+
+    raw_rows(*((f"{h:02}:01:10", f"m{h % 3}", "hall", float(h)) for h in range(9))).write.parquet(str(tmp_path / "raw"))
+    hours = rollup_hour(rollup_minute(spark.read.parquet(str(tmp_path / "raw"))))
+    series = line_chart_section(hourly_energy(hours, "2024-01-01 10:30:00", ordered=False))
+    rows = series.orderBy("machine_id").collect()
+    assert [r["labels"] for r in rows] == [[f"{h:02}:00" for h in range(9)]] * 3
+    series.collect()
+    plan = series._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and plan.count("Scan parquet") <= 1

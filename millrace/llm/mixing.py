@@ -58,27 +58,42 @@ def label(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(NULL))
 
 
-def goals(cells: DataFrame, name: str, targets: Targets) -> DataFrame:
-    """``name, goal_name``: the tokens that each category of one dimension should keep."""
-    categories = kept(cells.groupBy(name).agg(F.sum("tokens").alias("t")), "categories")
-    total = categories.agg(F.sum("t")).first()[0] or 0
-    wish = F.pow(F.col("t") / F.lit(float(total or 1)), F.lit(targets.power.get(name, 1.0)))
-    if given := targets.shares.get(name):
-        shares = [(NULL if k is None else str(k), float(v)) for k, v in given.items()]
-        named = cells.sparkSession.createDataFrame(shares, "category string, given double")
-        categories = categories.join(named, F.col(name) == F.col("category"), "left")
-        if missing := [r[0] for r in categories.where("given IS NULL AND t > 0").select(name).limit(5).collect()]:
-            raise ValueError(f"no share is given for {name} {', '.join(map(repr, missing))}")
-        wish = F.coalesce("given", F.lit(0.0))
-    wished = categories.select(name, F.when(F.col("t") > 0, wish).otherwise(0.0).alias("wish"))
-    scale = total * targets.budget / (wished.agg(F.sum("wish")).first()[0] or 1.0)
-    return wished.select(name, (F.col("wish") * scale).alias(f"goal_{name}"))
+def by_category(cells: DataFrame, *values: str) -> DataFrame:
+    """``dimension, category`` and its ``goal``, if the cells have goals, three times each cell."""
+    entries = [
+        F.struct(F.lit(n).alias("dimension"), F.col(n).alias("category"), *([F.col(f"goal_{n}").alias("goal")] if f"goal_{n}" in cells.columns else []))
+        for n in DIMENSIONS
+    ]
+    return cells.select(F.explode(F.array(*entries)).alias("c"), *values).select("c.*", *values)
+
+
+def goals(cells: DataFrame, targets: Targets) -> DataFrame:
+    """``dimension, category, goal``: the tokens that each category should keep."""
+    categories = by_category(cells, "tokens").groupBy("dimension", "category").agg(F.sum("tokens").alias("t"))
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    power = F.coalesce(*[F.when(F.col("dimension") == n, F.lit(float(p))) for n, p in targets.power.items()], F.lit(1.0))
+    wish = F.pow(F.col("t") / F.lit(float(total or 1)), power)
+    shares = [(n, NULL if k is None else str(k), float(v)) for n, given in targets.shares.items() for k, v in given.items()]
+    if shares:
+        named = cells.sparkSession.createDataFrame(shares, "dimension string, category string, given double")
+        categories = categories.join(named, ["dimension", "category"], "left")
+        bound = F.col("dimension").isin(*{s[0] for s in shares})
+        if missing := categories.where(bound & F.col("given").isNull() & (F.col("t") > 0)).limit(5).collect():
+            raise ValueError("no share is given for " + ", ".join(f"{r['dimension']} {r['category']!r}" for r in missing))
+        wish = F.when(bound, F.coalesce("given", F.lit(0.0))).otherwise(wish)
+    wished = kept(categories.select("dimension", "category", F.when(F.col("t") > 0, wish).otherwise(0.0).alias("wish")), "wishes")
+    sums = {r["dimension"]: r["w"] for r in wished.groupBy("dimension").agg(F.sum("wish").alias("w")).collect()}
+    scale = F.coalesce(*[F.when(F.col("dimension") == n, F.lit(total * targets.budget / (w or 1.0))) for n, w in sums.items()], F.lit(0.0))
+    return wished.select("dimension", "category", (F.col("wish") * scale).alias("goal"))
 
 
 def fitted(cells: DataFrame, targets: Targets) -> DataFrame:
     """The cells with the ``goal_*`` of their categories and ``fitted`` tokens, never more than they have."""
+    cells = kept(cells, "cells")
+    wanted = goals(cells, targets)
     for name in DIMENSIONS:
-        cells = cells.join(goals(cells, name, targets), name)
+        mine = wanted.where(F.col("dimension") == name).select(F.col("category").alias(name), F.col("goal").alias(f"goal_{name}"))
+        cells = cells.join(mine, name)
     cells = kept(cells.withColumn("fitted", F.col("tokens").cast("double")), "cells")
     for sweep in range(targets.sweeps):
         for name in DIMENSIONS:
@@ -87,33 +102,23 @@ def fitted(cells: DataFrame, targets: Targets) -> DataFrame:
         cells = cells.withColumn("fitted", F.least("fitted", F.col("tokens").cast("double")))
         if sweep % 3 == 2 or sweep == targets.sweeps - 1:
             cells = kept(cells, "cells")
-            worst = max((far(cells, name) for name in DIMENSIONS), default=0.0)
-            if worst <= targets.tolerance:
+            if (reached(cells).agg(F.max("off")).first()[0] or 0.0) <= targets.tolerance:
                 break
     return cells
 
 
-def off(name: str) -> Column:
-    """How far a category's fitted tokens are from its goal, as a part of it."""
-    goal = F.max(f"goal_{name}")
-    return F.abs(F.sum("fitted") - goal) / F.greatest(goal, F.lit(1.0))
-
-
-def far(cells: DataFrame, name: str) -> float:
-    return cells.groupBy(name).agg(off(name).alias("off")).agg(F.max("off")).first()[0] or 0.0
+def reached(cells: DataFrame) -> DataFrame:
+    """``dimension, category, tokens, goal, fitted, off``; ``off`` is the distance from the goal, as a part of it."""
+    sums = by_category(cells, "tokens", "fitted").groupBy("dimension", "category").agg(
+        F.sum("tokens").alias("tokens"), F.max("goal").alias("goal"), F.sum("fitted").alias("fitted")
+    )
+    return sums.withColumn("off", F.abs(F.col("fitted") - F.col("goal")) / F.greatest("goal", F.lit(1.0)))
 
 
 def marginals(docs: DataFrame, targets: Targets = Targets(), topic: Column | None = None) -> DataFrame:
     """``dimension, category, tokens, goal, fitted, off, met``: what raking reached for each category, null as it was."""
-    cells = fitted(cells_of(docs, topic), targets)
-    reports = [
-        cells.groupBy(F.col(name).alias("category")).agg(
-            F.sum("tokens").alias("tokens"), F.max(f"goal_{name}").alias("goal"), F.sum("fitted").alias("fitted"), off(name).alias("off")
-        ).select(F.lit(name).alias("dimension"), F.nullif("category", F.lit(NULL)).alias("category"), "tokens", "goal", "fitted", "off",
-                 (F.col("off") <= targets.tolerance).alias("met"))
-        for name in DIMENSIONS
-    ]
-    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+    found = reached(fitted(cells_of(docs, topic), targets))
+    return found.withColumns({"category": F.nullif("category", F.lit(NULL)), "met": F.col("off") <= targets.tolerance})
 
 
 def fit(cells: DataFrame, targets: Targets) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -83,6 +84,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         with open(path) as file:
             spec = json.load(file)
         before, normal = spec["pre_tokenizer"] or {}, spec["normalizer"]
@@ -98,12 +100,16 @@ class Encoder:
         self.breaks: dict[tuple[int, bool], bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def letters(self, prefix: str, word: str) -> bytes:
         """Ids of Latin letters: one piece, which the model itself can cut without the steps before it."""
-        raw = (prefix + (word.lower() if self.lower else word)).encode().decode("latin-1").translate(self.alphabet)
-        return np.array([t.id for t in self.model.tokenize(raw)], self.dtype).tobytes()
+        raw = word.lower() if self.lower else word
+        if not raw.isascii():  # ASCII letters are their own bytes' letters
+            raw = raw.encode().decode("latin-1").translate(self.alphabet)
+        if prefix:
+            raw = self.alphabet[32] + raw
+        return array(self.code, [t.id for t in self.model.tokenize(raw)]).tobytes()
 
     def by_words(self, text: str) -> bytes:
         """For tokenizers that drop white space: pieces never reach across it."""

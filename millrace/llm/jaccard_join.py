@@ -138,7 +138,8 @@ def components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> D
     classes = sets.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig").agg(first)
     classes = kept(classes.select(F.monotonically_increasing_id().alias("id"), "sig", "x.*"), "classes")
     likely = kept(may_link(classes, plan), "likely")
-    texts = kept(docs.join(likely, "doc_id").select("id", "sig", "n", "t"), "texts")
+    # One plan at every size: a broadcast would serve small inputs only.
+    texts = kept(docs.join(likely.hint("merge"), "doc_id").select("id", "sig", "n", "t"), "texts")
     keyed = kept(texts.mapInArrow(lambda b: keys_of(b, percent, words), "id long, keys array<long>"), "keys")
     postings = keyed.select("id", F.explode("keys").alias("key"))
     heads = postings.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("other")).where("pivot <> other")

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import io
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,8 @@ from millrace.session import shared_dir
 
 MAGIC = b"MILLHUF1\n"
 BLOCK, CHECK = 1 << 19, 256
+#: Bytes of ids that are counted at once.
+PORTION = 1 << 20
 
 
 # Codes
@@ -121,17 +123,29 @@ def place(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder)
 
 
+def portions(rows: Iterable[bytes]) -> Iterator[bytes]:
+    """The bytes of all rows, some rows at a time: counting costs as much as the vocabulary is large."""
+    waiting, held = [], 0
+    for raw in rows:
+        waiting.append(raw)
+        held += len(raw)
+        if held >= PORTION:
+            yield b"".join(waiting)
+            waiting, held = [], 0
+    if waiting:
+        yield b"".join(waiting)
+
+
 def count_ids(tokens: DataFrame, dtype: np.dtype) -> np.ndarray:
     """How often each id occurs; each task sends a row for each id it met."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                here = np.bincount(np.frombuffer(raw, dtype))
-                if len(here) > len(total):
-                    total = np.pad(total, (0, len(here) - len(total)))
-                total[: len(here)] += here
+        for portion in portions(raw for batch in batches for raw in batch.column(0).to_pylist()):
+            here = np.bincount(np.frombuffer(portion, dtype))
+            if len(here) > len(total):
+                total = np.pad(total, (0, len(here) - len(total)))
+            total[: len(here)] += here
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
@@ -260,7 +274,7 @@ def read_ids(manifest: DataFrame) -> DataFrame:
                             crc, n = zlib.crc32(ids.astype("<u4").tobytes(), crc), n + len(ids)
                         rows.append((doc, base, n, crc))
                         base += n
-                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=schema)
+                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], schema=schema)
 
     files = kept(manifest.select("path", "base", "folder"), "files")
     return files.repartition(max(1, files.count())).mapInArrow(run, ", ".join(f"{n} long" for n in schema.names))

@@ -24,6 +24,8 @@ from millrace.llm.common import kept
 
 #: Letters below have one lower-case letter each, whatever stands beside them, and are composed already.
 LATIN_END = "\u0130"
+#: Punctuation that is cut off a word's end, unless an added token has it.
+TRAILING = ".,!?;:*#$%&"
 
 
 class Unsafe(Exception):
@@ -33,7 +35,7 @@ class Unsafe(Exception):
 class Remembered(dict):
     """Ids by chunk, in two generations: when the young one is full, it replaces the old one."""
 
-    LIMIT = 300_000
+    LIMIT = 450_000
 
     def __init__(self, coder: Encoder, prefix: str = ""):
         super().__init__()
@@ -42,15 +44,22 @@ class Remembered(dict):
     def __missing__(self, chunk: str) -> bytes:
         ids = self.old.get(chunk)
         if ids is None:
-            if not chunk or chunk != chunk.strip():
+            if chunk.isalpha():  # no white space then
+                if chunk.isascii() or max(chunk) < LATIN_END:
+                    ids = self.coder.letters(self.prefix, chunk)
+                else:
+                    ids = self.coder.whole(self.prefix + chunk)
+            elif not chunk or chunk != chunk.strip():
                 raise Unsafe
-            core = chunk.rstrip(".,")
-            if core != chunk and core and core[-1].isalpha():  # punctuation after a letter is a piece of its own
-                ids = self[core] + self.coder.marks[chunk[len(core) :]]
-            elif chunk.isalpha() and max(chunk) < LATIN_END:
-                ids = self.coder.letters(self.prefix, chunk)
             else:
-                ids = self.coder.whole(self.prefix + chunk)
+                core = chunk.rstrip(self.coder.trailing)
+                if core != chunk and core and core[-1].isalpha():  # punctuation after a letter is a piece of its own
+                    seen = core in self
+                    ids = self[core] + self.coder.marks[chunk[len(core) :]]
+                    if not seen:  # a rare word: remembered without its punctuation only
+                        return ids
+                else:
+                    ids = self.coder.whole(self.prefix + chunk)
         if len(self) >= self.LIMIT:
             self.old = dict(self)
             self.clear()
@@ -59,7 +68,7 @@ class Remembered(dict):
 
 
 class Marks(dict):
-    """Ids of runs of full stops and commas."""
+    """Ids of runs of punctuation."""
 
     def __init__(self, coder: Encoder):
         super().__init__()
@@ -95,6 +104,10 @@ class Encoder:
         else:
             self.encode = self.whole
         self.lower = self.encode == self.by_words
+        self.added = [t["content"].lower() for t in spec["added_tokens"]]
+        self.trailing = "".join(c for c in TRAILING if not any(c in t for t in self.added))
+        self.tokenize = self.model.tokenize
+        self.pieces = [i.to_bytes(self.dtype.itemsize, "little") for i in range(1 + max(self.tokenizer.get_vocab().values()))]
         self.marks = Marks(self)
         self.first, self.inner = Remembered(self), Remembered(self, " ")
         self.breaks: dict[tuple[int, bool], bytes] = {}
@@ -107,15 +120,23 @@ class Encoder:
         raw = word.lower() if self.lower else word
         if not raw.isascii():  # ASCII letters are their own bytes' letters
             raw = raw.encode().decode("latin-1").translate(self.alphabet)
-        if prefix:
-            raw = self.alphabet[32] + raw
-        return array(self.code, [t.id for t in self.model.tokenize(raw)]).tobytes()
+        tokens = self.tokenize(self.alphabet[32] + raw if prefix else raw)
+        return self.pieces[tokens[0].id] if len(tokens) == 1 else b"".join([self.pieces[t.id] for t in tokens])
 
     def by_words(self, text: str) -> bytes:
         """For tokenizers that drop white space: pieces never reach across it."""
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to Python only
             return self.whole(text)
-        return b"".join(map(self.first.__getitem__, text.split()))
+        return b"".join(map(self.first.__getitem__, self.lowered(text).split()))
+
+    def lowered(self, text: str) -> str:
+        """The text in lower case, where that is sure to change no ids, so that fewer different words are met."""
+        try:
+            text.encode("latin-1")  # letters beyond may be composed with their neighbours, or have several forms
+        except UnicodeEncodeError:
+            return text
+        low = text.lower()
+        return text if any(t in low for t in self.added) else low
 
     def by_lines(self, text: str) -> bytes:
         """For byte-level tokenizers: a piece begins at every single space or line break between other characters."""

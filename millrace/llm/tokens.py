@@ -35,7 +35,7 @@ class Unsafe(Exception):
 class Remembered(dict):
     """Ids by chunk, in two generations: when the young one is full, it replaces the old one."""
 
-    LIMIT = 450_000
+    LIMIT = 300_000
 
     def __init__(self, coder: Encoder, prefix: str = ""):
         super().__init__()

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm.common import kept
+from millrace.llm.common import kept, memories, take_up
 
 
 #: Letters below have one lower-case letter each, whatever stands beside them, and are composed already.
@@ -173,6 +173,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+memories.append((encoder, encoder.cache_clear))
+
+
 def token_table(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """``doc_id, part, seq, n_tokens, ids`` of every row, written once: its ids and the end id.
 
@@ -180,6 +183,7 @@ def token_table(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_up(encoder)
         coder, part, seq = encoder(path), TaskContext.get().partitionId(), 0
         end = np.array([end_id], coder.dtype).tobytes()
         for batch in batches:

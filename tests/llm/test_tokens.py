@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from millrace.llm import huffman
+from millrace.llm import common, huffman, tokens
 from millrace.llm.tokens import Encoder
 
 ODD = [
@@ -46,3 +46,13 @@ def test_ids_are_counted_in_portions(monkeypatch):
     monkeypatch.setattr(huffman, "PORTION", 10)
     rows = [b"abcd", b"", b"efghijk", b"l", b""]
     assert list(huffman.portions(rows)) == [b"abcdefghijk", b"l"] and list(huffman.portions([])) == []
+
+
+def test_a_worker_keeps_one_memory_at_a_time():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coder = tokens.encoder(path)
+    ids = coder.encode("some words")
+    assert common.word_hashes([b"one", b"two"]).tolist() == common.word_hashes([b"one", b"two"]).tolist()
+    assert len(common._hashes) >= 2 and tokens.encoder.cache_info().currsize == 0
+    common.take_up(tokens.encoder)
+    assert not common._hashes and tokens.encoder(path).encode("some words") == ids

@@ -2,6 +2,7 @@
 
 Words repeat, so each worker keeps the ids of the words it has met and asks the tokenizer only for
 new ones. A text whose white space makes the cut into words unsafe is encoded whole; the ids are the same.
+For byte-level tokenizers, each different word of some megabytes of text is looked up once, and ids are gathered by its number.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,8 @@ from millrace.llm.common import kept, memories, take_up
 LATIN_END = "\u0130"
 #: Punctuation that is cut off a word's end, unless an added token has it.
 TRAILING = ".,!?;:*#$%&"
+#: Bytes of text whose different words are looked up at once; a longer text is encoded by itself.
+PORTION = 1 << 23
 
 
 class Unsafe(Exception):
@@ -44,27 +48,49 @@ class Remembered(dict):
     def __missing__(self, chunk: str) -> bytes:
         ids = self.old.get(chunk)
         if ids is None:
-            if chunk.isalpha():  # no white space then
-                if chunk.isascii() or max(chunk) < LATIN_END:
-                    ids = self.coder.letters(self.prefix, chunk)
-                else:
-                    ids = self.coder.whole(self.prefix + chunk)
-            elif not chunk or chunk != chunk.strip():
-                raise Unsafe
+            core = chunk.rstrip(self.coder.trailing)
+            if core != chunk and core and core[-1].isalpha() and chunk == chunk.lstrip():
+                # punctuation after a letter is a piece of its own
+                seen = core in self
+                ids = self[core] + self.coder.marks[chunk[len(core) :]]
+                if not seen:  # a rare word: remembered without its punctuation only
+                    return ids
             else:
-                core = chunk.rstrip(self.coder.trailing)
-                if core != chunk and core and core[-1].isalpha():  # punctuation after a letter is a piece of its own
-                    seen = core in self
-                    ids = self[core] + self.coder.marks[chunk[len(core) :]]
-                    if not seen:  # a rare word: remembered without its punctuation only
-                        return ids
-                else:
-                    ids = self.coder.whole(self.prefix + chunk)
+                ids = self.made(chunk)
+        self.remember(chunk, ids)
+        return ids
+
+    def made(self, chunk: str) -> bytes:
+        if chunk.isalpha():  # no white space then
+            if chunk.isascii() or max(chunk) < LATIN_END:
+                return self.coder.letters(self.prefix, chunk)
+        elif not chunk or chunk != chunk.strip():
+            raise Unsafe
+        return self.coder.whole(self.prefix + chunk)
+
+    def remember(self, chunk: str, ids: bytes) -> None:
         if len(self) >= self.LIMIT:
             self.old = dict(self)
             self.clear()
         self[chunk] = ids
-        return ids
+
+    def of_each(self, chunks: list[str]) -> list[bytes | None]:
+        """Ids of different chunks, which have no punctuation to cut off; none where a chunk is unsafe."""
+        found = list(map(self.get, chunks))
+        left = [i for i, ids in enumerate(found) if ids is None]
+        new = [chunks[i] for i in left]
+        for i, chunk, ids in zip(left, new, list(map(self.old.get, new))):
+            if ids is None:
+                try:
+                    ids = self.made(chunk)
+                except Unsafe:
+                    continue
+            found[i] = ids
+            if len(self) >= self.LIMIT:
+                self.remember(chunk, ids)
+            else:
+                self[chunk] = ids
+        return found
 
 
 class Marks(dict):
@@ -104,7 +130,8 @@ class Encoder:
         else:
             self.encode = self.whole
         self.lower = self.encode == self.by_words
-        self.added = [t["content"].lower() for t in spec["added_tokens"]]
+        self.cutting = [t["content"] for t in spec["added_tokens"]]
+        self.added = [t.lower() for t in self.cutting]
         self.trailing = "".join(c for c in TRAILING if not any(c in t for t in self.added))
         self.tokenize = self.model.tokenize
         self.pieces = [i.to_bytes(self.dtype.itemsize, "little") for i in range(1 + max(self.tokenizer.get_vocab().values()))]
@@ -140,6 +167,8 @@ class Encoder:
 
     def by_lines(self, text: str) -> bytes:
         """For byte-level tokenizers: a piece begins at every single space or line break between other characters."""
+        if "\n\n" in text and any(t in text for t in self.cutting):  # a run of line breaks before one is a piece
+            return self.whole(text)
         out, empty, begun = [], 0, False
         try:
             for line in text.split("\n"):
@@ -158,6 +187,69 @@ class Encoder:
             out.append(self.line_breaks(empty - (not begun), True))
         return b"".join(out)
 
+    def texts(self, column: pa.Array, end: bytes) -> Iterator[pa.Array]:
+        """Ids of texts, each with ``end`` after them; null is empty."""
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        upto, a = np.cumsum(sizes), 0
+        while a < len(sizes):
+            b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + PORTION, side="right")))
+            part = column.slice(a, b - a)
+            if self.encode == self.by_lines and upto[b - 1] - upto[a] + sizes[a] <= PORTION:
+                yield self.gathered(part.cast(pa.string()).fill_null(""), end)
+            else:
+                yield pa.array([self.encode(t or "") + end for t in part.to_pylist()], pa.binary())
+            a = b
+
+    def gathered(self, column: pa.Array, end: bytes) -> pa.Array:
+        """Ids by the numbers of chunks: words between single spaces, the first ones of lines with the line break before."""
+        chunks = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
+        begins, coded = chunks.offsets.to_numpy()[:-1], chunks.values.dictionary_encode()
+        ids, sizes, unsafe = self.of_chunks(coded.dictionary)
+        number = coded.indices.to_numpy().astype(np.int64)
+        whole = np.logical_or.reduceat(unsafe[number], begins)
+        # A text's first word has no space before it; a text that isn't cut is one chunk.
+        heads = coded.dictionary.take(pa.array(number[begins])).to_pylist()
+        more = [self.encode(column[i].as_py()) if whole[i] else self.first[head] for i, head in enumerate(heads)] + [end]
+        number[begins] = np.arange(len(sizes), len(sizes) + len(begins))
+        if whole.any():
+            left = ~np.repeat(whole, np.diff(np.r_[begins, len(number)]))
+            left[begins] = True
+            number, begins = number[left], (np.cumsum(left) - 1)[begins]
+        number = np.insert(number, np.r_[begins[1:], len(number)], len(sizes) + len(more) - 1)
+        flat, more_sizes = self.flat(more)
+        out, n = taken(np.concatenate([ids, flat]), np.concatenate([sizes, more_sizes]), number)
+        ends = np.cumsum(np.add.reduceat(n, begins + np.arange(len(begins)))) * self.dtype.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(np.r_[0, ends].astype("<i4")), pa.py_buffer(out)])
+
+    def of_chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different chunks without spaces, one after another, how many each has, and whether it is unsafe."""
+        cores = pc.utf8_rtrim(chunks, characters=self.trailing)
+        cut = pc.and_(pc.utf8_is_alpha(pc.utf8_slice_codeunits(cores, -1)), pc.not_equal(cores, chunks))
+        coded = pc.if_else(cut, cores, chunks).dictionary_encode()
+        words, heads = strings(coded.dictionary), []
+        for i in np.flatnonzero(pc.starts_with(coded.dictionary, "\n").to_numpy(zero_copy_only=False)).tolist():
+            heads.append((i, words[i]))
+            words[i] = ""
+        found = self.inner.of_each(words)
+        for i, head in heads:
+            try:
+                found[i] = self.line_breaks(1, False) + self.first[head[1:]]
+            except Unsafe:
+                pass
+        word = coded.indices.to_numpy()
+        unsafe = np.fromiter((ids is None for ids in found), bool, len(found))[word]
+        at = np.flatnonzero(cut.to_numpy(zero_copy_only=False))
+        lengths = pc.utf8_length(cores).to_numpy()[at].tolist()
+        runs = pa.array([c[n:] for c, n in zip(strings(chunks.take(pa.array(at))), lengths)], pa.string()).dictionary_encode()
+        parts = [ids or b"" for ids in found] + [b""] + [self.marks[run] for run in runs.dictionary.to_pylist()]
+        mark = np.full(len(chunks), len(found), np.int64)
+        mark[at] += 1 + runs.indices.to_numpy()
+        ids, n = taken(*self.flat(parts), np.stack([word, mark], axis=1).ravel())
+        return ids, n[::2] + n[1::2], unsafe
+
+    def flat(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(b"".join(parts), self.dtype), np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
+
     def line_breaks(self, n: int, last: bool) -> bytes:
         """A run of line breaks: all but the last one are a piece, if text follows."""
         if n == 0:
@@ -168,6 +260,20 @@ class Encoder:
         return self.breaks[n, last]
 
 
+def taken(ids: np.ndarray, sizes: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the numbered ones of parts that lie one after another, and how many each has."""
+    n = sizes[number]
+    upto = np.cumsum(n)
+    return ids[np.repeat((np.cumsum(sizes) - sizes)[number] - (upto - n), n) + np.arange(n.sum())], n
+
+
+def strings(column: pa.Array) -> list[str]:
+    """The strings of a column that hold no space."""
+    if not len(column):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column), " ")[0].as_py().split(" ")
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -187,14 +293,15 @@ def token_table(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         coder, part, seq = encoder(path), TaskContext.get().partitionId(), 0
         end = np.array([end_id], coder.dtype).tobytes()
         for batch in batches:
-            ids = [coder.encode(t or "") + end for t in batch.column(1).to_pylist()]
-            n = len(ids)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([part] * n, pa.int32()), pa.array(range(seq, seq + n), pa.int64()),
-                 pa.array([len(i) // coder.dtype.itemsize for i in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=["doc_id", "part", "seq", "n_tokens", "ids"],
-            )
-            seq += n
+            at = 0
+            for ids in coder.texts(batch.column(1), end):
+                n = len(ids)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, n), pa.array([part] * n, pa.int32()), pa.array(range(seq, seq + n), pa.int64()),
+                     pc.divide(pc.binary_length(ids).cast(pa.int64()), coder.dtype.itemsize), ids],
+                    names=["doc_id", "part", "seq", "n_tokens", "ids"],
+                )
+                seq, at = seq + n, at + n
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ddl = "doc_id long, part int, seq long, n_tokens long, ids binary"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -42,6 +43,34 @@ def test_each_word_is_asked_for_once():
     assert sorted(asked) == sorted(["a", "\u0120thonter", "!!", "&&&", ","])
 
 
+def ids_of(coder: Encoder, texts: list[str | None]) -> list[list[int]]:
+    end = np.array([7], coder.dtype).tobytes()
+    column = pa.array(["cut off", *texts], pa.string()).slice(1)
+    return [np.frombuffer(ids, coder.dtype).tolist() for part in coder.texts(column, end) for ids in part.to_pylist()]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("portion", [1 << 23, 40])
+def test_texts_of_a_column(name, portion, monkeypatch):
+    monkeypatch.setattr(tokens, "PORTION", portion)
+    monkeypatch.setattr(tokens.Remembered, "LIMIT", 5)
+    plain = Tokenizer.from_file(public_tokenizers.path(name))
+    texts = [*ODD, None, "", " ", "\n", "a", "a\n", "\na", "a\n\nb", "a  b", "a \n b", "Word, word.\nWord word!?\nwörd, Wörd", "x\ty \tz", *ODD]
+    texts += ["\n\n<|endoftext|>b", "a <|endoftext|>\n<|endoftext|> b", "long words " * 20]
+    coder = Encoder(public_tokenizers.path(name))
+    for _ in range(2):
+        assert ids_of(coder, texts) == [plain.encode(t or "", add_special_tokens=False).ids + [7] for t in texts]
+    assert ids_of(coder, []) == []
+
+
+def test_each_word_of_a_column_is_looked_up_once(monkeypatch):
+    coder, looked_up = Encoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    of_each = tokens.Remembered.of_each
+    monkeypatch.setattr(tokens.Remembered, "of_each", lambda self, chunks: looked_up.extend(chunks) or of_each(self, chunks))
+    ids_of(coder, ["a word, word. another\nword word"] * 50)
+    assert sorted(looked_up) == ["", "a", "another", "word"]  # the first words of lines are remembered by themselves
+
+
 def test_ids_are_counted_in_portions(monkeypatch):
     monkeypatch.setattr(huffman, "PORTION", 10)
     rows = [b"abcd", b"", b"efghijk", b"l", b""]

@@ -4,6 +4,8 @@ Every pass scores all candidates against all queries, block by block. Counting p
 histogram of scores for each query over the interval that holds its k-th score, and narrow the
 interval to one bin, until it is a single value. The last pass keeps what scores higher, and of
 equal scores the smallest ids. A task sends at most k bins, or k rows above what it must, for each query.
+Queries and their intervals are written block by block for each pass; a task reads these files one after another
+for the candidates it holds, so that neither a shuffle nor the driver carries queries for each part of the candidates.
 
 Components become floor(scale * x); scores are exact, and such beyond 64 bits count as the last value
 of the range. Vectors that are null or hold null or non-finite components take no part. Vectors meet only those of their own length. Rows that repeat a vec_id are candidates each, but never for their own
@@ -19,13 +21,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.blockfiles import get, names_in, put
 from millrace.llm.common import kept
 from millrace.llm.vectors import LAST, clamped, loaded, stored, top_of, whole
+from millrace.session import shared_dir
 
 BINS = 256
 CANDIDATES, QUERIES = 4096, 256
 #: Score tables that a task gathers before it sends counts, in query blocks.
 HELD = 64
+#: Bytes of candidates that a task holds against one query block after another.
+LOT = 16 << 20
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024) -> DataFrame:
@@ -38,7 +44,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
         lambda b: candidate_blocks(b, scale), "dim int, n int, top double, kind string, ids binary, m binary"), "candidates")
     facts = blocks.agg(F.count("*"), F.max("top")).first()
     spread = max(1, min(facts[0], int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    blocks = blocks.withColumn("p", F.pmod(F.xxhash64("ids"), F.lit(spread)).cast("int")).drop("top")
+    blocks = kept(blocks.drop("top").repartition(spread), "candidates")
 
     queries = rows.where("q").select("vec_id", "embedding").mapInArrow(lambda b: query_rows(b, scale), "qid long, dim int, reach double, kind string, v binary")
     queries = kept(queries.groupBy("qid").agg(F.min(F.struct("kind", "v", "dim", "reach")).alias("x")).select("qid", "x.*"), "queries")
@@ -50,18 +56,20 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
     low = F.when(edge == LAST, F.lit(-LAST - 1)).otherwise(-edge)
     state = queries.select("qid", low.alias("lo"), edge.alias("last"), F.lit(0).cast("long").alias("above"))
 
-    def pairs(state: DataFrame) -> DataFrame:
+    def met(state: DataFrame, reduce, ddl: str) -> DataFrame:
+        """What ``reduce`` makes of the candidates and the query blocks in a folder."""
+        folder = shared_dir(spark, "query-blocks")
         grouped = queries.join(state, "qid").groupBy("block", "dim").agg(
             F.collect_list(F.struct("qid", "kind", "v", "lo", "last", "above")).alias("qs")
         )
-        dealt = grouped.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-        return blocks.join(dealt, ["p", "dim"]).select("dim", "n", "kind", "ids", "m", "block", "qs")
+        kept(grouped.mapInArrow(lambda b: put_queries(b, folder), "block int, dim int"), "query-list")
+        return blocks.mapInArrow(lambda b: reduce(b, folder, k, scale), ddl)
 
     while True:
         state = kept(state, "intervals")
         if state.where("lo < last").isEmpty():
             break
-        counts = pairs(state).mapInArrow(lambda b: histograms(b, k, scale), "qid long, bin int, n long")
+        counts = met(state, histograms, "qid long, bin int, n long")
         counts = counts.groupBy("qid", "bin").agg(F.sum("n").alias("n"))
         above = F.sum("n").over(Window.partitionBy("qid").orderBy(F.desc("bin")))
         reached = counts.join(state, "qid").withColumn("upto", above + F.col("above")).where(F.col("upto") >= k)
@@ -76,7 +84,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
             F.when(F.col("x").isNull(), F.col("lo")).otherwise(F.least(last, low + step - 1).cast("long")).alias("last"),
             F.coalesce(F.col("x.upto") - F.col("x.n"), F.col("above")).alias("above"),
         )
-    found = pairs(state).mapInArrow(lambda b: best(b, k, scale), "query_id long, vec_id long, score long")
+    found = met(state, best, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
@@ -133,36 +141,60 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return clamped(a.astype(object) @ b.T.astype(object))
 
 
+def put_queries(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """One file for each block of queries of one length."""
+    for batch in batches:
+        for block, dim, queries in zip(*(batch.column(c).to_pylist() for c in ("block", "dim", "qs"))):
+            put(folder, f"{dim}-{block}", {
+                **{c: np.array([q[c] for q in queries], np.int64) for c in ("qid", "lo", "last", "above")},
+                "kind": np.array([q["kind"] for q in queries]), "sizes": np.array([len(q["v"]) for q in queries], np.int64),
+                "v": np.frombuffer(b"".join(q["v"] for q in queries), np.uint8)})
+        yield batch.select(["block", "dim"])
+
+
 class Block:
     """The queries of one block with their intervals."""
 
-    def __init__(self, dim: int, queries: list[dict], scale: int):
-        self.ids = np.array([q["qid"] for q in queries], np.int64)
-        vectors = [loaded(q["kind"], q["v"], scale) for q in queries]
-        self.matrix = np.stack(vectors).reshape(len(queries), dim)
-        self.lo, self.last, self.above = (np.array([q[c] for q in queries], np.int64) for c in ("lo", "last", "above"))
+    def __init__(self, dim: int, held: dict[str, np.ndarray], scale: int):
+        self.ids, self.lo, self.last, self.above = (held[c] for c in ("qid", "lo", "last", "above"))
+        raw = np.split(held["v"], np.cumsum(held["sizes"])[:-1])
+        self.matrix = np.stack([loaded(kind, v.tobytes(), scale) for kind, v in zip(held["kind"].tolist(), raw)]).reshape(len(raw), dim)
         # Differences of 64-bit integers fit unsigned ones.
         self.step = (self.last.view(np.uint64) - self.lo.view(np.uint64)) // np.uint64(BINS) + np.uint64(1)
 
 
-def scored(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[tuple[int, int, Block, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each pair of blocks: block number, length, queries, candidate ids, scores, and which are no query's own."""
-    known: dict[tuple[int, int], Block] = {}
+def lots(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[list[tuple[int, np.ndarray, np.ndarray]]]:
+    """Length, ids and vectors of candidate blocks, about ``LOT`` bytes of them at a time."""
+    lot, size = [], 0
     for batch in batches:
         for i in range(batch.num_rows):
-            dim, n, kind, ids, m, number = (batch.column(c)[i].as_py() for c in range(6))
-            if (number, dim) not in known:
-                if len(known) >= HELD:
-                    known.clear()
-                known[number, dim] = Block(dim, batch.column(6)[i].as_py(), scale)
-            block = known[number, dim]
-            ids = np.frombuffer(ids, "<i8")
-            scores = products(loaded(kind, m, scale).reshape(n, dim), block.matrix)
-            yield number, dim, block, ids, scores, ids[:, None] != block.ids
-
-
-def histograms(batches: Iterator[pa.RecordBatch], k: int, scale: int) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[int, int], tuple[Block, np.ndarray]] = {}
+            dim, n, kind, ids, m = (batch.column(c)[i].as_py() for c in ("dim", "n", "kind", "ids", "m"))
+            matrix = loaded(kind, m, scale).reshape(n, dim)
+            lot.append((dim, np.frombuffer(ids, "<i8"), matrix))
+            size += matrix.nbytes
+            if size >= LOT:
+                yield lot
+                lot, size = [], 0
+    if lot:
+        yield lot
+
+
+def scored(batches: Iterator[pa.RecordBatch], folder: str, scale: int) -> Iterator[tuple[str, Block, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each pair of blocks: name and queries of the one, candidate ids, scores, and which are no query's own."""
+    names = None
+    for lot in lots(batches, scale):
+        names = names_in(folder) if names is None else names
+        dims = {dim for dim, _, _ in lot}
+        for name in names:
+            if (dim := int(name.split("-")[0])) in dims:
+                block = Block(dim, get(folder, name), scale)
+                for own, ids, matrix in lot:
+                    if own == dim:
+                        yield name, block, ids, products(matrix, block.matrix), ids[:, None] != block.ids
+
+
+def histograms(batches: Iterator[pa.RecordBatch], folder: str, k: int, scale: int) -> Iterator[pa.RecordBatch]:
+    held: dict[str, tuple[Block, np.ndarray]] = {}
 
     def send() -> Iterator[pa.RecordBatch]:
         for block, counts in held.values():
@@ -174,10 +206,10 @@ def histograms(batches: Iterator[pa.RecordBatch], k: int, scale: int) -> Iterato
             )
         held.clear()
 
-    for number, dim, block, _, scores, others in scored(batches, scale):
-        if (number, dim) not in held and len(held) >= HELD:
+    for name, block, _, scores, others in scored(batches, folder, scale):
+        if name not in held and len(held) >= HELD:
             yield from send()
-        _, counts = held.setdefault((number, dim), (block, np.zeros((len(block.ids), BINS), np.int64)))
+        _, counts = held.setdefault(name, (block, np.zeros((len(block.ids), BINS), np.int64)))
         inside = others & (scores >= block.lo) & (scores <= block.last)
         row, column = np.nonzero(inside)
         above = scores[row, column].view(np.uint64) - block.lo[column].view(np.uint64)
@@ -186,14 +218,14 @@ def histograms(batches: Iterator[pa.RecordBatch], k: int, scale: int) -> Iterato
     yield from send()
 
 
-def best(batches: Iterator[pa.RecordBatch], k: int, scale: int) -> Iterator[pa.RecordBatch]:
+def best(batches: Iterator[pa.RecordBatch], folder: str, k: int, scale: int) -> Iterator[pa.RecordBatch]:
     ties: dict[int, np.ndarray] = {}
 
     def rows(qid, vec, score) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({"query_id": np.asarray(qid, np.int64), "vec_id": np.asarray(vec, np.int64), "score": np.asarray(score, np.int64)})
 
     levels: dict[int, int] = {}
-    for _, _, block, ids, scores, others in scored(batches, scale):
+    for _, block, ids, scores, others in scored(batches, folder, scale):
         row, column = np.nonzero(others & (scores > block.lo))
         yield rows(block.ids[column], ids[row], scores[row, column])
         row, column = np.nonzero(others & (scores == block.lo))

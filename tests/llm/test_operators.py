@@ -267,6 +267,23 @@ def test_top_k(spark):
     assert topk_search.top_k(few, F.col("vec_id") == 0).count() == 3
 
 
+def test_top_k_carries_no_queries_to_each_part_of_the_candidates(spark):
+    """Queries by the parts of the candidates grow with the square of the table; a broadcast of them fills the driver."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=5 if i % 3 else 4).tolist()) for i in range(900)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    found = topk_search.top_k(frame, F.col("vec_id") % 2 == 0, k=3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    scaled = {i: np.floor(np.array(v) * 1024).astype(int) for i, v in rows}
+    for q in range(0, 900, 2):
+        scores = sorted((-int(x @ scaled[q]), i) for i, x in scaled.items() if i != q and len(x) == len(scaled[q]))[:3]
+        assert got[q] == [(i, -s) for s, i in scores]
+
+
 def test_packing(docs, texts):
     lengths = docs.select(F.lit(0).alias("part"), F.monotonically_increasing_id().alias("seq"), (F.length(F.coalesce("text", F.lit(""))) + 1).cast("long").alias("n_tokens")).cache()
     pieces, sums = packing.pack(lengths).collect(), {r.seq: r.n_tokens for r in lengths.collect()}

@@ -143,6 +143,31 @@ def test_a_frequent_phrase_meets_by_windows(spark):
     assert sizes and max(sizes) <= suffix_dedup.CROWD
 
 
+def test_windows_of_a_frequent_phrase_travel_without_their_bytes(spark):
+    rng = random.Random(18)
+    phrase, own = "this very phrase is in all texts of this table", lambda: "".join(rng.choice("abcdefgh") for _ in range(30))
+    texts = [own() + phrase + own() for _ in range(suffix_dedup.CROWD + 200)]
+    docs = spark.createDataFrame(list(enumerate(texts + texts[:50])), "doc_id long, text string").repartition(3)
+
+    def measured(batches):
+        for bucket, sent in suffix_dedup.grouped(batches):
+            n = sum(len(suffix_dedup.unpacked(blob, "<i4", "<u8", "<u8", "<i8", "u1", "u1", "u1")[2]) for _, blob in sent)
+            yield suffix_dedup.messages([(bucket, 0, suffix_dedup.packed(facts=np.array([n, sum(len(blob) for _, blob in sent)])))])
+
+    lists = suffix_dedup.found_repeats(docs, measured).select("answers").collect()
+    n, size = sum(suffix_dedup.unpacked(a.blob, "<i8")[0] for r in lists for a in r.answers or ()).tolist()
+    assert n > 5 * suffix_dedup.CROWD and size < 20 * n
+    # Only what goes comes back: what later documents repeat.
+    found = suffix_dedup.found_repeats(docs, lambda b: suffix_dedup.find_repeats(b, named=False)).select("answers").collect()
+    least = [suffix_dedup.unpacked(a.blob, "<i4", "u1", "u1", "<i8", "<i8")[3] for r in found for a in r.answers or ()]
+    assert 0 < sum(map(len, least)) < 0.1 * n
+    cut, seen = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(docs).select("doc_id", "n_removed").collect()}, set()
+    for i, t in enumerate(texts + texts[:50]):
+        places = {p + k for p in range(57) if t[p : p + 50] in seen for k in range(50)}
+        seen.update(t[p : p + 50] for p in range(57))
+        assert cut[i] == len(places)
+
+
 def test_intervals_with_left_diversity():
     rng = np.random.default_rng(3)
     core = rng.integers(97, 101, 60).astype(np.uint8)

@@ -50,6 +50,8 @@ CROWD = 100
 SALTS = 32
 #: Shingles in one part of a group.
 BLOCK = 1 << 20
+#: Sets that one is compared with at once, at most.
+LOT = 256
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -227,6 +229,15 @@ def compare(batches: Iterator[pa.RecordBatch], plan: Plan, words: int) -> Iterat
     return fill_batches(LINKS, rows())
 
 
+def shared_with(mine: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many elements of a sorted set each of the other sets holds; none of the sets is empty."""
+    ends = np.cumsum([len(s) for s in others])
+    elements = np.concatenate(others)
+    at = mine.searchsorted(elements)
+    at[at == len(mine)] = 0
+    return np.add.reduceat((mine[at] == elements).astype(np.int64), np.r_[0, ends[:-1]])
+
+
 class Group:
     """Classes that may link, in one task: all with each other, two parts with each other, or one class with the rest."""
 
@@ -247,24 +258,26 @@ class Group:
     def may_link(self) -> list[int]:
         """Numbers of the classes that may link with another one here."""
         found = np.zeros(len(self.ids), bool)
-        for x, near in self.meetings(lambda x: ~found | ~found[x]):
+        for x, near in self.meetings(lambda x, others: ~found[others] | ~found[x]):
             found[near] = True
             found[x] |= bool(len(near))
         return np.flatnonzero(found).tolist()
 
     def links(self, sets: dict[int, np.ndarray]) -> list[tuple[int, int]]:
         """Links that join what links join here."""
-        root, out = np.arange(len(self.ids)), []
-        for x, near in self.meetings(lambda x: root != root[x]):
-            for y in near.tolist():
-                if root[y] != root[x]:
-                    shared = np.intersect1d(sets[self.ids[x]], sets[self.ids[y]], assume_unique=True).size
-                    if 100 * shared >= self.plan.percent * (self.sizes[x] + self.sizes[y] - shared):
+        root, out, sizes = np.arange(len(self.ids)), [], np.array(self.sizes)
+        for x, near in self.meetings(lambda x, others: root[others] != root[x]):
+            mine, lot = sets[self.ids[x]], 4
+            while len(near := near[root[near] != root[x]]):
+                some, near, lot = near[:lot], near[lot:], min(4 * lot, LOT)
+                shared = shared_with(mine, [sets[self.ids[y]] for y in some.tolist()])
+                for y in some[100 * shared >= self.plan.percent * (sizes[x] + sizes[some] - shared)].tolist():
+                    if root[y] != root[x]:
                         out.append((self.ids[x], self.ids[y]))
                         root[root == root[y]] = root[x]
         return out
 
-    def meetings(self, wanted: Callable[[int], np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    def meetings(self, wanted: Callable[[int, np.ndarray | slice], np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
         """Each class with the ``wanted`` ones after it that it may link with."""
         count = len(self.ids)
         if count < 2:
@@ -273,22 +286,39 @@ class Group:
         owner, starts = np.repeat(np.arange(count), low), np.cumsum(low) - low
         sketches = np.full((count, SKETCH), NONE)
         sketches[owner, np.arange(len(owner)) - np.repeat(starts, low)] = np.concatenate(self.low)
-        _, value = np.unique(np.concatenate(self.low), return_inverse=True)
-        lists, bounds = owner[np.argsort(value, kind="stable")], np.r_[0, np.cumsum(np.bincount(value))]
+        first, keep, lists, bounds = self.listed(owner, starts, low)
         left, right = np.array(self.sides).T
         for x in [self.ids.index(self.star)] if self.star in self.ids else range(count) if self.star is None else ():
-            open_ = wanted(x) & ((left[x] & right) | (right[x] & left))
-            open_[x] = False
-            if self.star is None:
-                open_[:x] = False  # these have met x
-            if not open_.any():
+            if not wanted(x, slice(None)).any():
                 continue
-            mine = value[starts[x] : starts[x] + low[x]]
-            overlap = np.bincount(np.concatenate([lists[bounds[v] : bounds[v + 1]] for v in mine]), minlength=count)
-            shorter, longer = np.minimum(sizes, sizes[x]), np.maximum(sizes, sizes[x])
-            others = np.flatnonzero(open_ & (overlap > 0) & (100 * shorter >= self.plan.percent * longer))
+            near = np.zeros(count, bool)
+            for v in first[starts[x] : starts[x] + keep[x]].tolist():
+                near[lists[bounds[v] : bounds[v + 1]]] = True
+            near[x] = False
+            if self.star is None:
+                near[:x] = False  # these have met x
+            others = np.flatnonzero(near)
+            shorter, longer = np.minimum(sizes[others], sizes[x]), np.maximum(sizes[others], sizes[x])
+            open_ = wanted(x, others) & ((left[x] & right[others]) | (right[x] & left[others])) & (100 * shorter >= self.plan.percent * longer)
+            others = others[open_]
             yield x, others[self.similar(sketches, x, others)]
 
+    def listed(self, owner: np.ndarray, starts: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The values of each sketch, those of the fewest classes here first; how many of them count; by value, the classes for which it counts.
+
+        Two sketches that may be similar share so many values that those which count hold a common one.
+        """
+        _, value = np.unique(np.concatenate(self.low), return_inverse=True)
+        held = np.bincount(value)
+        rank = np.empty(len(held), np.int64)
+        rank[np.argsort(held, kind="stable")] = np.arange(len(held))
+        first = rank[value][np.lexsort((rank[value], owner))]
+        shared = np.where(low < SKETCH, np.minimum(-(-self.plan.percent * low // 100), self.plan.least), self.plan.least)
+        keep = low - np.maximum(shared, 1) + 1
+        counts = np.arange(len(owner)) - np.repeat(starts, low) < keep[owner]
+        listed, own = first[counts], owner[counts]
+        return first, keep, own[np.argsort(listed, kind="stable")], np.r_[0, np.cumsum(np.bincount(listed, minlength=len(held)))]
+
     def similar(self, sketches: np.ndarray, x: int, others: np.ndarray) -> np.ndarray:
         """Whether the least values of the united sketches allow the similarity."""
         both = np.sort(np.concatenate([np.broadcast_to(sketches[x], (len(others), SKETCH)), sketches[others]], axis=1), axis=1)

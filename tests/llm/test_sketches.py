@@ -131,3 +131,23 @@ def test_group(star):
         for a, b in found:
             root = [root[a] if r == root[b] else r for r in root]
         assert all(root[a] == root[b] for a, b in linked)
+
+
+def test_unrelated_classes_with_common_values_are_not_compared(monkeypatch):
+    """Values that all classes of a group hold say nothing; only rare ones bring two together."""
+    rng = np.random.default_rng(12)
+    common = np.arange(1, 25, dtype=np.uint64)
+    sets = [np.unique(np.r_[common, rng.integers(1 << 40, 1 << 63, 200).astype(np.uint64)]) for _ in range(250)]
+    for k in (3, 50, 51):
+        sets.append(np.unique(np.r_[sets[k][:-4], rng.integers(1 << 40, 1 << 63, 4).astype(np.uint64)]))
+    sets += [common[:9], common[:10], common[:3], common[1:]]
+    group, seen = Group(Plan()), []
+    for k, s in enumerate(sets):
+        group.add(k, len(s), s[: sketch_join.SKETCH], True, True)
+    similar = Group.similar
+    monkeypatch.setattr(Group, "similar", lambda self, sketches, x, others: (seen.append(len(others)), similar(self, sketches, x, others))[1])
+    linked = {(a, b) for a, b in combinations(range(len(sets)), 2)
+              if 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))}
+    assert {tuple(sorted(x)) for x in group.links(dict(enumerate(sets)))} == linked and len(linked) == 4
+    assert {k for x in linked for k in x} <= set(group.may_link())
+    assert sum(seen) < 200
